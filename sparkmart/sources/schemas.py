@@ -60,14 +60,12 @@ class SchemaDrift(ValueError):
 def from_source(df: DataFrame, table: str) -> DataFrame:
     """A source table under our column names and raw types, without its unedited twin columns."""
     wanted = StructType.fromDDL(RAW[table])
-    have = {SOURCE_NAMES.get(c, c): c for c in df.columns if c in SOURCE_NAMES or c not in SOURCE_NAMES.values()}
-    # A column that exists only under its plain name is taken as it is.
-    for c in df.columns:
-        have.setdefault(c, c)
-    missing = [f.name for f in wanted if f.name not in have]
+    edited = {SOURCE_NAMES[c]: c for c in df.columns if c in SOURCE_NAMES}
+    taken = {f.name: edited.get(f.name, f.name) for f in wanted}
+    missing = [c for c in taken.values() if c not in df.columns]
     if missing:
         raise SchemaDrift(f"{table}: missing columns {missing}")
-    return df.select(*(F.col(have[f.name]).cast(f.dataType).alias(f.name) for f in wanted))
+    return df.select(*(F.col(taken[f.name]).cast(f.dataType).alias(f.name) for f in wanted))
 
 
 def conform(df: DataFrame, ddl: str, name: str = "table") -> DataFrame:

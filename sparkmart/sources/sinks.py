@@ -9,6 +9,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmart.session import new_folder
 from sparkmart.sources.tables import table_exists
 
 _LOG = "_current"
@@ -87,3 +88,12 @@ def export_csv(df: DataFrame, path: str) -> str:
     """CSV with a header; one file per partition, so nothing is gathered on one machine."""
     df.write.mode("overwrite").option("header", True).csv(path)
     return path
+
+
+def new_version_copy(df: DataFrame, name: str, min_rows: int = 1) -> DataFrame:
+    """A raw copy in the shared work folder, published only if the written copy has enough rows."""
+    from sparkmart.operators.quality import enforce, row_count
+
+    return overwrite(
+        df, new_folder(df.sparkSession, f"raw-{name}"), lambda written: enforce(row_count(written, name, min_rows))
+    )
