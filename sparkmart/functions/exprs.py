@@ -108,6 +108,13 @@ def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:
 # --- ratios and buckets --------------------------------------------------------
 
 
+def round_even(c: Column, digits: int) -> Column:
+    """Round the binary value half to even, as numpy does. ``round`` would go through the decimal
+    text of the double and rounds half up."""
+    scale = F.lit(float(10**digits))
+    return F.rint(c * scale) / scale
+
+
 def share_pct(part: Column, total: Column, digits: int = 2) -> Column:
     """Percentage of a total; NULL when the total is zero."""
     return F.round(F.try_divide(part * F.lit(100.0), total), digits)

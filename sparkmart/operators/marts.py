@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.exprs import (
     case_when,
+    clip,
     exact_avg,
     exact_sum,
-    merge_parts,
     month_of,
     parts_decimal,
-    parts_value,
+    round_even,
     share_pct,
     sum_of_parts,
     sum_parts,
@@ -491,10 +491,10 @@ def histogram(df: DataFrame, value: str, bins: int = 20, groups: Sequence[str] =
 def event_product_totals(events: DataFrame) -> DataFrame:
     """One row per product from its events: summed revenue, mean and highest price, mean discount."""
     return events.groupBy("product_id").agg(
-        F.round(exact_sum("revenue"), 2).alias("revenue"),
-        F.round(exact_avg("price"), 2).alias("sale_price"),
-        F.round(F.max("price"), 2).alias("listing_price"),
-        F.round(F.greatest(F.least(exact_avg("discount"), F.lit(1.0)), F.lit(0.0)), 4).alias("discount"),
+        round_even(exact_sum("revenue"), 2).alias("revenue"),
+        round_even(exact_avg("price"), 2).alias("sale_price"),
+        round_even(F.max("price"), 2).alias("listing_price"),
+        round_even(clip(exact_avg("discount"), 0.0, 1.0), 4).alias("discount"),
     )
 
 

@@ -22,10 +22,10 @@ FRAGMENTS = {
     "monthly": "SELECT month, COUNT(*) AS visit_count FROM {visits} GROUP BY month",
     "event_totals": """
         SELECT product_id,
-               ROUND(CAST(SUM(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE), 2) AS revenue,
-               ROUND(CAST(SUM(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / COUNT(price), 2) AS sale_price,
-               ROUND(MAX(price), 2) AS listing_price,
-               ROUND(GREATEST(LEAST(CAST(SUM(CAST(discount AS DECIMAL(18,4))) AS DOUBLE) / COUNT(discount), 1.0), 0.0), 4)
+               round_even(CAST(SUM(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE), 2) AS revenue,
+               round_even(CAST(SUM(CAST(price AS DECIMAL(18,4))) AS DOUBLE) / COUNT(price), 2) AS sale_price,
+               round_even(MAX(price), 2) AS listing_price,
+               round_even(GREATEST(LEAST(CAST(SUM(CAST(discount AS DECIMAL(18,4))) AS DOUBLE) / COUNT(discount), 1.0), 0.0), 4)
                    AS discount
         FROM {sales_events} GROUP BY product_id""",
     "event_days": "SELECT MAX(CAST(event_timestamp AS DATE)) AS last_day FROM {sales_events}",
