@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.session import durable
@@ -36,44 +36,44 @@ def _ranged(counts: DataFrame, value: str, n_rows: int, rows_per_range: int) ->
 def running_totals(
     counts: DataFrame,
     value: str,
-    weight: str,
+    weights: Sequence[str],
     groups: Sequence[str] = (),
     descending: bool = False,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """For one row per (groups, value): ``before`` = weight ahead of it, ``total`` = weight of the group.
+    """For one row per (groups, value) and every weight column w: ``before_w`` = weight ahead of the
+    row, ``total_w`` = weight of its group.
 
     ``counts`` is written first, because its size decides the ranges and the ranges are read twice.
     """
     counts = durable(counts, "value-counts")
     ranged, n_ranges = _ranged(counts, value, counts.count(), rows_per_range)
-    groups = list(groups)
+    groups, weights = list(groups), list(weights)
     direction = F.desc if descending else F.asc
 
     within = Window.partitionBy(*groups, "_range")
     ahead = within.orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged.withColumn("before", F.coalesce(F.sum(weight).over(ahead), F.lit(0)))
+    out = ranged.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(ahead), F.lit(0)) for w in weights})
     if n_ranges == 1:
-        return out.withColumn("total", F.sum(weight).over(within)).drop("_range")
+        return out.withColumns({f"total_{w}": F.sum(w).over(within) for w in weights}).drop("_range")
 
     # At most n_ranges rows per group.
     per_group = Window.partitionBy(*groups)
     earlier = per_group.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*groups, "_range")
-        .agg(F.sum(weight).alias("_w"))
+        .agg(*(F.sum(w).alias(w) for w in weights))
         .select(
             *groups,
             "_range",
-            F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_offset"),
-            F.sum("_w").over(per_group).alias("total"),
+            *(F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"_offset_{w}") for w in weights),
+            *(F.sum(w).over(per_group).alias(f"total_{w}") for w in weights),
         )
     )
-    return (
-        out.join(offsets, [*groups, "_range"])
-        .withColumn("before", F.col("before") + F.col("_offset"))
-        .drop("_offset", "_range")
-    )
+    joined = out.join(offsets, [*groups, "_range"])
+    return joined.withColumns(
+        {f"before_{w}": F.col(f"before_{w}") + F.col(f"_offset_{w}") for w in weights}
+    ).drop("_range", *(f"_offset_{w}" for w in weights))
 
 
 def attach_by_value(rows: DataFrame, table: DataFrame, key: str, count: str, hot_over: int) -> DataFrame:
@@ -102,8 +102,8 @@ def rank_rows(
         return base.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
     known = base.where(F.col(value).isNotNull())
     counts = known.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = running_totals(counts, value, "_n", descending=descending, rows_per_range=rows_per_range).select(
-        value, "_n", (F.col("before") + 1).alias(name)
+    ranks = running_totals(counts, value, ["_n"], descending=descending, rows_per_range=rows_per_range).select(
+        value, "_n", (F.col("before__n") + 1).alias(name)
     )
     ranked = attach_by_value(known, ranks, value, "_n", rows_per_range).drop("_n")
     missing = base.where(F.col(value).isNull()).withColumn(
@@ -125,15 +125,22 @@ def exact_quantiles(
     """
     groups = list(groups)
     counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    totals = running_totals(counts, value, "_n", groups, rows_per_range=rows_per_range)
+    totals = running_totals(counts, value, ["_n"], groups, rows_per_range=rows_per_range)
+    picks, outs = quantile_columns(value, "_n", probabilities)
+    return totals.groupBy(*groups).agg(*picks).select(*groups, *outs)
 
-    def at(position):
-        holds = (F.col("before") <= position) & (position < F.col("before") + F.col("_n"))
-        return F.max(F.when(holds, F.col(value).cast("double")))
+
+def quantile_columns(value: str, weight: str, probabilities: dict[str, float]) -> tuple[list[Column], list[Column]]:
+    """Aggregates over running totals that pick the two values around each quantile, and the
+    columns that interpolate between them afterwards."""
+    before, n, total = F.col(f"before_{weight}"), F.col(weight), F.col(f"total_{weight}")
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((before <= position) & (position < before + n), F.col(value).cast("double")))
 
     picks, outs = [], []
     for name, p in probabilities.items():
-        position = F.lit(p) * (F.col("total") - 1)
+        position = F.lit(p) * (total - 1)
         picks += [
             at(F.floor(position)).alias(f"_{name}_lo"),
             at(F.ceil(position)).alias(f"_{name}_hi"),
@@ -141,4 +148,4 @@ def exact_quantiles(
         ]
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         outs.append((low + (high - low) * F.col(f"_{name}_f")).alias(name))
-    return totals.groupBy(*groups).agg(*picks).select(*groups, *outs)
+    return picks, outs
