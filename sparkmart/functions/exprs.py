@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Plain decimal or scientific notation; "5d", "NaN" and "Infinity" are not numbers here.
 NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
@@ -127,9 +128,19 @@ def case_when(*branches: tuple[Column, str], otherwise: str) -> Column:
     return reduce(lambda acc, b: acc.when(b[0], F.lit(b[1])), rest, start).otherwise(F.lit(otherwise))
 
 
-def month_of(c: Column | str) -> Column:
-    """YYYY-MM of a date or timestamp."""
-    return F.date_format(col(c), "yyyy-MM")
+def month_of(df: DataFrame, name: str) -> Column:
+    """YYYY-MM of a date, a timestamp or text that starts with one; text is not parsed, so an
+    odd date cannot fail the query."""
+    if isinstance(df.schema[name].dataType, StringType):
+        return F.substring(name, 1, 7)
+    return F.date_format(name, "yyyy-MM")
+
+
+def month_number(df: DataFrame, name: str) -> Column:
+    """Month of the year, 1 to 12; NULL when text holds none."""
+    if isinstance(df.schema[name].dataType, StringType):
+        return F.substring(name, 6, 2).try_cast("int")
+    return F.month(name)
 
 
 def money_text(c: Column | str, digits: int = 0) -> Column:

@@ -22,6 +22,7 @@ from sparkmart.functions.exprs import (
     clip,
     exact_avg,
     exact_sum,
+    month_number,
     month_of,
     parts_decimal,
     round_even,
@@ -169,7 +170,7 @@ def ranked_up_to(finance: DataFrame, info: DataFrame, k: int = 15) -> DataFrame:
 
 def monthly_traffic(traffic: DataFrame) -> DataFrame:
     return (
-        traffic.groupBy(month_of("last_visited").alias("month")).agg(_rows().alias("visit_count")).orderBy("month")
+        traffic.groupBy(month_of(traffic, "last_visited").alias("month")).agg(_rows().alias("visit_count")).orderBy("month")
     )
 
 
@@ -177,7 +178,7 @@ def monthly_traffic_nonnull(traffic: DataFrame) -> DataFrame:
     """Counts rows with a product among rows with a date."""
     return (
         traffic.where(F.col("last_visited").isNotNull())
-        .groupBy(month_of("last_visited").alias("month"))
+        .groupBy(month_of(traffic, "last_visited").alias("month"))
         .agg(F.count("product_id").alias("visit_count"))
         .orderBy("month")
     )
@@ -196,7 +197,7 @@ def monthly_product_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame
     """
     visits = (
         traffic.where(F.col("last_visited").isNotNull())
-        .groupBy("product_id", month_of("last_visited").alias("month"))
+        .groupBy("product_id", month_of(traffic, "last_visited").alias("month"))
         .agg(_rows().alias("visits"))
     )
     revenue = per_product(finance).select(
@@ -230,9 +231,10 @@ def most_visited(traffic: DataFrame, info: DataFrame, k: int = 10) -> DataFrame:
     Per product at most 12 months; a bit per month is kept and combined instead of a
     distinct count over all visits.
     """
-    seen = traffic.groupBy("product_id").agg(
-        _rows().alias("n"),
-        F.expr("bit_or(shiftleft(1, month(last_visited)))").alias("months"),
+    seen = (
+        traffic.withColumn("_m", month_number(traffic, "last_visited"))
+        .groupBy("product_id")
+        .agg(_rows().alias("n"), F.expr("bit_or(shiftleft(1, _m))").alias("months"))
     )
     return (
         seen.join(info, "product_id")
