@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Plain decimal or scientific notation; "5d", "NaN" and "Infinity" are not numbers here.
-NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-
 MONEY_SCALE = 4
 _LOW_BITS = 20
 
@@ -39,11 +36,17 @@ def clip(c: Column | str, low: float | None = None, high: float | None = None) -
 
 
 def number(c: Column | str, decimal_comma: bool = False) -> Column:
-    """Text to double; anything that is not a number becomes NULL instead of an error."""
+    """Text to double; anything that is not a plain or scientific number becomes NULL, not an error.
+
+    A cast alone also takes "5d", "NaN", "Infinity" and hex floats. A number ends in a digit or
+    a point and holds no x, which is checked without a regular expression per value.
+    """
     text = F.trim(col(c).cast("string"))
     if decimal_comma:
         text = F.replace(text, F.lit(","), F.lit("."))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    ends_well = F.substring(text, -1, 1).between(".", "9")
+    hexadecimal = text.contains("x") | text.contains("X")
+    return F.when(ends_well & ~hexadecimal, text.try_cast("double"))
 
 
 def title_case(c: Column | str) -> Column:
@@ -128,12 +131,19 @@ def case_when(*branches: tuple[Column, str], otherwise: str) -> Column:
     return reduce(lambda acc, b: acc.when(b[0], F.lit(b[1])), rest, start).otherwise(F.lit(otherwise))
 
 
-def month_of(df: DataFrame, name: str) -> Column:
-    """YYYY-MM of a date, a timestamp or text that starts with one; text is not parsed, so an
-    odd date cannot fail the query."""
+def month_key(df: DataFrame, name: str) -> Column:
+    """What to group by for calendar months: the first day of the month, which is cheaper per row
+    than formatted text. Text dates give YYYY-MM as it stands, so an odd date cannot fail the query."""
     if isinstance(df.schema[name].dataType, StringType):
         return F.substring(name, 1, 7)
-    return F.date_format(name, "yyyy-MM")
+    return F.trunc(F.col(name).cast("date"), "month")
+
+
+def month_label(df: DataFrame, key: str) -> Column:
+    """YYYY-MM of a month key."""
+    if isinstance(df.schema[key].dataType, StringType):
+        return F.col(key)
+    return F.date_format(key, "yyyy-MM")
 
 
 def month_number(df: DataFrame, name: str) -> Column:

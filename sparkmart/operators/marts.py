@@ -22,15 +22,16 @@ from sparkmart.functions.exprs import (
     clip,
     exact_avg,
     exact_sum,
+    month_key,
+    month_label,
     month_number,
-    month_of,
     parts_decimal,
     round_even,
     share_pct,
     sum_of_parts,
     sum_parts,
 )
-from sparkmart.operators.ordering import ROWS_PER_RANGE, exact_quantiles, rank_rows
+from sparkmart.operators.ordering import ROWS_PER_RANGE, exact_quantiles, join_groups, rank_rows
 from sparkmart.session import durable
 
 def _rows() -> Column:
@@ -59,7 +60,8 @@ def _mean(name: str) -> Column:
 def with_share(df: DataFrame, measure: str, name: str, digits: int = 2) -> DataFrame:
     """Share of the grand total, as a scalar subquery; a window without partitions would
     move every row into one task."""
-    total = df.agg(exact_sum(measure)).scalar()
+    # Aggregated rows are few, and their values may be too large for whole units in a bigint.
+    total = df.agg(F.sum(F.col(measure).cast("decimal(38,4)")).cast("double")).scalar()
     return df.withColumn(name, share_pct(F.col(measure), total, digits))
 
 
@@ -168,20 +170,18 @@ def ranked_up_to(finance: DataFrame, info: DataFrame, k: int = 15) -> DataFrame:
 # --- traffic -------------------------------------------------------------------------
 
 
+def _visits_by_month(traffic: DataFrame, count: Column) -> DataFrame:
+    months = traffic.groupBy(month_key(traffic, "last_visited").alias("month")).agg(count.alias("visit_count"))
+    return months.withColumn("month", month_label(months, "month")).orderBy("month")
+
+
 def monthly_traffic(traffic: DataFrame) -> DataFrame:
-    return (
-        traffic.groupBy(month_of(traffic, "last_visited").alias("month")).agg(_rows().alias("visit_count")).orderBy("month")
-    )
+    return _visits_by_month(traffic, _rows())
 
 
 def monthly_traffic_nonnull(traffic: DataFrame) -> DataFrame:
     """Counts rows with a product among rows with a date."""
-    return (
-        traffic.where(F.col("last_visited").isNotNull())
-        .groupBy(month_of(traffic, "last_visited").alias("month"))
-        .agg(F.count("product_id").alias("visit_count"))
-        .orderBy("month")
-    )
+    return _visits_by_month(traffic.where(F.col("last_visited").isNotNull()), F.count("product_id"))
 
 
 def traffic_change(monthly: DataFrame) -> DataFrame:
@@ -191,13 +191,13 @@ def traffic_change(monthly: DataFrame) -> DataFrame:
 
 
 def monthly_product_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame:
-    """month, product_id, revenue of the many-to-many join traffic x finance.
+    """(month key, product_id, units) of the many-to-many join traffic x finance.
 
     Both sides are reduced first; the pairs of the fan-out are a multiplication, not rows.
     """
     visits = (
         traffic.where(F.col("last_visited").isNotNull())
-        .groupBy("product_id", month_of(traffic, "last_visited").alias("month"))
+        .groupBy("product_id", month_key(traffic, "last_visited").alias("month"))
         .agg(_rows().alias("visits"))
     )
     revenue = per_product(finance).select(
@@ -210,19 +210,17 @@ def monthly_product_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame
 
 def traffic_finance_join(traffic: DataFrame, finance: DataFrame) -> DataFrame:
     """Revenue per month and product over the fan-out."""
-    return monthly_product_revenue(traffic, finance).select(
-        "month", "product_id", (F.col("units").cast("double") / F.lit(10000.0)).alias("total_revenue")
+    units = monthly_product_revenue(traffic, finance)
+    return units.select(
+        month_label(units, "month").alias("month"), "product_id", (F.col("units").cast("double") / F.lit(10000.0)).alias("total_revenue")
     )
 
 
 def monthly_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame:
     """Revenue by visit month."""
-    return (
-        monthly_product_revenue(traffic, finance)
-        .groupBy("month")
-        .agg((F.sum("units").cast("double") / F.lit(10000.0)).alias("total_revenue"))
-        .orderBy("month")
-    )
+    units = monthly_product_revenue(traffic, finance)
+    totals = units.groupBy("month").agg((F.sum("units").cast("double") / F.lit(10000.0)).alias("total_revenue"))
+    return totals.withColumn("month", month_label(totals, "month")).orderBy("month")
 
 
 def most_visited(traffic: DataFrame, info: DataFrame, k: int = 10) -> DataFrame:
@@ -468,7 +466,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20, groups: Sequence[str] =
     lo, hi = F.min(value).alias("_lo"), F.max(value).alias("_hi")
     if groups:
         # Written first, so the optimizer knows its real size and broadcasts only when small.
-        rows = df.join(durable(df.groupBy(*groups).agg(lo, hi), "limits"), groups)
+        rows = join_groups(df, durable(df.groupBy(*groups).agg(lo, hi), "limits"), groups)
     else:
         limits = df.agg(F.struct(lo, hi)).scalar()
         rows = df.withColumn("_l", limits).select("*", "_l.*")

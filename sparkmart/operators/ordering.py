@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,14 @@ from pyspark.sql import functions as F
 from sparkmart.session import durable
 
 ROWS_PER_RANGE = 1_000_000
+SKETCH_ACCURACY = 10_000
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on group columns where a missing value is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same).drop(*(f"_right_{k}" for k in keys))
 
 
 def _ranged(counts: DataFrame, value: str, n_rows: int, rows_per_range: int) -> tuple[DataFrame, int]:
@@ -70,7 +80,7 @@ def running_totals(
             *(F.sum(w).over(per_group).alias(f"total_{w}") for w in weights),
         )
     )
-    joined = out.join(offsets, [*groups, "_range"])
+    joined = join_groups(out, offsets, [*groups, "_range"])
     return joined.withColumns(
         {f"before_{w}": F.col(f"before_{w}") + F.col(f"_offset_{w}") for w in weights}
     ).drop("_range", *(f"_offset_{w}" for w in weights))
@@ -118,16 +128,57 @@ def exact_quantiles(
     probabilities: dict[str, float],
     groups: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation; one column per named probability.
 
-    The built-in ``percentile`` keeps every distinct value of a group in one task; this does not.
+    The built-in ``percentile`` keeps every distinct value of a group in one task. Here a sketch
+    first brackets each quantile; then all rows are counted, but only values inside a bracket
+    (about 4 / accuracy of them) stay apart, and the rest collapse to one count per side. So two
+    scans and a small shuffle replace a sort of the data. Should a quantile lie outside its
+    bracket, all values are counted instead.
     """
     groups = list(groups)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    totals = running_totals(counts, value, ["_n"], groups, rows_per_range=rows_per_range)
-    picks, outs = quantile_columns(value, "_n", probabilities)
-    return totals.groupBy(*groups).agg(*picks).select(*groups, *outs)
+    rows = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+    result = durable(_quantiles(_bracketed(rows, groups, probabilities, accuracy), groups, probabilities, rows_per_range), "quantiles")
+    if not result.where(~F.col("_exact")).isEmpty():
+        counts = rows.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_kept", F.lit(True))
+        result = _quantiles(counts, groups, probabilities, rows_per_range)
+    return result.drop("_exact")
+
+
+def _bracketed(rows: DataFrame, groups: list[str], probabilities: dict[str, float], accuracy: int) -> DataFrame:
+    """Counts of (groups, value) that keep values inside the brackets and merge those between."""
+    margin = 2.0 / accuracy
+    asked = [q for p in probabilities.values() for q in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    sketch = rows.groupBy(*groups).agg(F.percentile_approx("_v", asked, accuracy).alias("_b"))
+    sketch = durable(sketch, "brackets")  # one row per group; its real size decides how it is joined
+    joined = join_groups(rows, sketch, groups) if groups else rows.withColumn("_b", sketch.select("_b").scalar())
+    # Brackets may overlap, so regions are counted over all bounds; both are ascending in the value.
+    v, m = F.col("_v"), len(probabilities)
+    low, high = (lambda i: F.col("_b")[2 * i]), (lambda i: F.col("_b")[2 * i + 1])
+    inside = reduce(or_, [v.between(low(i), high(i)) for i in range(m)])
+    region = reduce(add, [(v >= low(i)).cast("int") + (v > high(i)).cast("int") for i in range(m)])
+    kept = F.when(inside, v)
+    return (
+        joined.groupBy(*groups, region.alias("_region"), kept.alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_v"))
+        .select(*groups, "_v", "_n", F.col("_k").isNotNull().alias("_kept"))
+    )
+
+
+def _quantiles(counts: DataFrame, groups: list[str], probabilities: dict[str, float], rows_per_range: int) -> DataFrame:
+    totals = running_totals(counts, "_v", ["_n"], groups, rows_per_range=rows_per_range)
+    picks, outs = quantile_columns("_v", "_n", probabilities)
+    # Exact when no quantile position falls into a merged region.
+    hit = [
+        (F.col("before__n") <= f(F.lit(p) * (F.col("total__n") - 1)))
+        & (f(F.lit(p) * (F.col("total__n") - 1)) < F.col("before__n") + F.col("_n"))
+        for p in probabilities.values()
+        for f in (F.floor, F.ceil)
+    ]
+    exact = F.bool_and(F.col("_kept") | ~reduce(or_, hit)).alias("_exact")
+    return totals.groupBy(*groups).agg(*picks, exact).select(*groups, *outs, "_exact")
 
 
 def quantile_columns(value: str, weight: str, probabilities: dict[str, float]) -> tuple[list[Column], list[Column]]:

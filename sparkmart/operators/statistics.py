@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.functions.distributions import normal_p, normal_quantile, t_p
 from sparkmart.functions.exprs import case_when, exact_avg
-from sparkmart.operators.ordering import ROWS_PER_RANGE, exact_quantiles, quantile_columns, running_totals
+from sparkmart.operators.ordering import ROWS_PER_RANGE, exact_quantiles, join_groups, quantile_columns, running_totals
 
 ALPHA = 0.05
 SKEW_LIMIT = 0.5
@@ -102,7 +102,7 @@ def rank_sums(
 def _joined(left: DataFrame, right: DataFrame, segments: Sequence[str]) -> DataFrame:
     """Two frames with one row per segment, side by side."""
     if segments:
-        return left.join(right, list(segments))
+        return join_groups(left, right, segments)
     row = right.select(F.struct("*")).scalar()  # one row without segments
     return left.withColumn("_r", row).select("*", "_r.*").drop("_r")
 

@@ -7,11 +7,13 @@ DataFrames, other engines as names in a WITH clause, so both read the same defin
 
 from __future__ import annotations
 
-import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkmart.sources.schemas import SOURCES
+from sparkmart.sources.tables import read_table
+
 BINDINGS: dict[str, str] = {
     # One sales line per row; no list price, so no join is paid where it is not needed.
     "finance_lines": """
@@ -92,7 +94,7 @@ def inputs_of(sql: str) -> list[str]:
 def bind(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A bound table, or a table of ``folder`` as it is."""
     if name not in BINDINGS:
-        return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
+        return read_table(spark, folder, name, SOURCES.get(name))
     sql = BINDINGS[name]
     return spark.sql(sql, **{i: bind(spark, folder, i) for i in inputs_of(sql)})
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None) -> DataFrame:
     """One parquet table below ``folder``; a schema, when given, is enforced."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
     path = os.path.join(folder, name)

@@ -6,8 +6,6 @@ the next start continues there. The same functions serve a running stream with a
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,22 +13,21 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkmart.functions.exprs import exact_sum
 from sparkmart.operators.incremental import BATCHES, EVENT_STEP, _batch_row, write_batch
 from sparkmart.sources.bindings import BINDINGS
+from sparkmart.sources.schemas import SOURCES
 from sparkmart.sources.state import MarkStore
 
 AVAILABLE_NOW = {"availableNow": True}
 
 
 def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet", files_per_batch: int = 64) -> DataFrame:
-    """Sales events read as a stream from parquet files below ``folder``.
+    """Sales events read as a stream from the parquet files of ``folder`` that match ``name``.
 
     The files hold timestamps without zone, which event-time watermarks do not accept.
     """
-    path = os.path.join(folder, name)
-    schema = spark.read.parquet(path).schema
     raw = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(SOURCES["events"])
         .option("maxFilesPerTrigger", str(files_per_batch))
-        .option("pathGlobFilter", "*.parquet" if name == "" else os.path.basename(name))
+        .option("pathGlobFilter", name)
         .parquet(folder)
     )
     events = spark.sql(BINDINGS["sales_events"], events=raw)

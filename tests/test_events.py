@@ -132,16 +132,16 @@ def split_log(spark, tmp_path_factory):
 def test_stream_equals_batch_and_continues(spark, events, split_log, tmp_path):
     folder, checkpoint = str(tmp_path / "t"), str(tmp_path / "c")
     for _ in range(2):  # the second start finds nothing new
-        ST.run_to_end(ST.ingest_stream(ST.event_stream(spark, split_log, "", 1), folder, checkpoint))
+        ST.run_to_end(ST.ingest_stream(ST.event_stream(spark, split_log, "*.parquet", 1), folder, checkpoint))
         assert rows(I.cumulative_per_product(spark, folder)) == rows(M.event_product_totals(events))
     assert I.ingested_batches(spark, folder).select("batch_id").distinct().count() == 5
 
 
 def test_stream_dedup_and_daily(spark, events, split_log, tmp_path):
-    twice = ST.event_stream(spark, split_log, "").unionByName(ST.event_stream(spark, split_log, ""))
+    twice = ST.event_stream(spark, split_log, "*.parquet").unionByName(ST.event_stream(spark, split_log, "*.parquet"))
     ST.run_to_end(ST.to_parquet(ST.first_of_each_event(twice), str(tmp_path / "d"), str(tmp_path / "dc")))
     assert spark.read.parquet(str(tmp_path / "d")).count() == events.count()
-    daily = ST.daily_revenue(ST.event_stream(spark, split_log, ""))
+    daily = ST.daily_revenue(ST.event_stream(spark, split_log, "*.parquet"))
     ST.run_to_end(ST.to_parquet(daily, str(tmp_path / "w"), str(tmp_path / "wc")))
     got, want = rows(spark.read.parquet(str(tmp_path / "w"))), rows(M.event_daily_revenue(events))
     assert got == want[: len(got)] and len(want) - len(got) <= 1  # the last day stays open

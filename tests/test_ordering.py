@@ -37,7 +37,7 @@ def test_rank_of_text(frame):
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from([0.0, 0.0, 1.5, 2.25, -3.0, 8.0])), min_size=1, max_size=40))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([0.0, 0.0, 1.5, 2.25, -3.0, 8.0])), min_size=1, max_size=40))
 def test_quantiles_match_numpy(frame, data):
     df = frame(data, "g string, v double")
     got = O.exact_quantiles(df, "v", {"m": 0.5, "p": 0.9}, ["g"], rows_per_range=3).collect()
@@ -57,3 +57,23 @@ def test_running_totals_many_ranges(frame):
     for r in got:
         assert r["before_n"] == sum(n for v, n in data if v < r["v"])
         assert r["total_n"] == 400
+
+
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_bracketed_quantiles_are_exact(frame, accuracy):
+    values = [v for _, v in skewed(900)] + [float(i) for i in range(100, 400)]
+    random.Random(4).shuffle(values)
+    got = O.exact_quantiles(
+        frame([(v,) for v in values], "v double"), "v", {"a": 0.5, "b": 0.25, "c": 0.99, "d": 0.0, "e": 1.0},
+        rows_per_range=50, accuracy=accuracy,
+    ).first()
+    assert list(got) == pytest.approx([float(np.quantile(values, p)) for p in (0.5, 0.25, 0.99, 0.0, 1.0)])
+
+
+def test_quantile_outside_its_bracket_falls_back(frame, monkeypatch):
+    merge_all = lambda rows, groups, probabilities, accuracy: (
+        rows.agg(O.F.count("*").alias("_n"), O.F.min("_v").alias("_v")).withColumn("_kept", O.F.lit(False))
+    )
+    monkeypatch.setattr(O, "_bracketed", merge_all)
+    got = O.exact_quantiles(frame([(float(i),) for i in range(10)], "v double"), "v", {"m": 0.5}).first()
+    assert got["m"] == 4.5
