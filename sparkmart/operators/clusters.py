@@ -24,11 +24,12 @@ RUNS = "run_name string, n_clusters int, silhouette_score double, cost double, m
 
 
 def cluster_input(features: DataFrame, columns: Sequence[str] = CLUSTER_COLS) -> DataFrame:
-    """Scaled vectors, written once in id order: every restart reads the same rows in the same
-    partitions, which also makes a seed repeatable."""
+    """Scaled vectors, written once, sorted by id inside hash partitions: every restart reads the
+    same rows in the same partitions, which also makes a seed repeatable."""
     scaled = standard_scale(durable(features.select("product_id", *columns), "cluster-features"), columns)
     assembled = VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="scaled").transform(scaled)
-    return durable(assembled.select("product_id", "revenue", "scaled").orderBy("product_id"), "cluster-input")
+    points = assembled.select("product_id", "revenue", "scaled")
+    return durable(points.repartition("product_id").sortWithinPartitions("product_id"), "cluster-input")
 
 
 def fit_kmeans(points: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> KMeansModel:

@@ -67,8 +67,27 @@ def _place(distinct: DataFrame, pivots: np.ndarray) -> DataFrame:
     return distinct.mapInPandas(place, f"{kept}, _u array<double>, _cell int, _r double, _self double")
 
 
+def _block_best(units_q: np.ndarray, ids_q: np.ndarray, units_c: np.ndarray, ids_c: np.ndarray, k: int) -> Iterator[tuple]:
+    """(query position, score, candidate position) of the best k candidates of every query."""
+    top = min(k, len(ids_c))
+    text = ids_c.astype(str) if ids_c.dtype == object else ids_c
+    for start in range(0, len(ids_q), SLICE):
+        own = ids_q[start : start + SLICE]
+        scores = np.round(units_q[start : start + SLICE] @ units_c.T, DIGITS) + 0.0
+        scores[own[:, None] == ids_c[None, :]] = EMPTY_SLOT
+        limit = np.partition(scores, len(ids_c) - top, axis=1)[:, len(ids_c) - top]
+        for i, (row, low) in enumerate(zip(scores, limit)):
+            at = np.flatnonzero((row >= low) & (row > EMPTY_SLOT))
+            for j in at[np.lexsort((text[at], -row[at]))][:top]:
+                yield start + i, row[j], j
+
+
 def _score(queries: DataFrame, candidates: DataFrame, k: int, chunk: int) -> DataFrame:
-    """The best k candidates of the same (block, cell) for every query, per pair of chunks."""
+    """The best k candidates of the same (block, cell) for every query, per pair of chunks.
+
+    Pairs of chunks are dealt to groups of about two chunks of rows: a large cell spreads over
+    many groups, many small cells share one and do not pay for a Python call each.
+    """
     cell = ["_b", "_cell"]
     # Both sides may be the same frame; fresh aliases keep their columns apart.
     candidates = candidates.select(*(F.col(c).alias(c) for c in ("_b", "_cell", "_id", "_u", "_ids")))
@@ -78,47 +97,53 @@ def _score(queries: DataFrame, candidates: DataFrame, k: int, chunk: int) -> Dat
         .join(candidates.groupBy(*cell).agg(F.count(F.lit(1)).alias("nc")), cell)
         .select(
             *cell,
+            "nq",
+            "nc",
             F.ceil(F.col("nq") / chunk).cast("int").alias("_nq"),
             F.ceil(F.col("nc") / chunk).cast("int").alias("_nc"),
         ),
         "cell-sizes",
     )
+    total = sizes.agg(F.sum(F.col("nq") * F.col("_nc") + F.col("nc") * F.col("_nq"))).first()[0] or 0
+    groups = max(1, math.ceil(total / (2 * chunk)))
+    sizes = sizes.drop("nq", "nc")
+    pair = [*cell, "_qc", "_cc"]
     mine = lambda n: F.pmod(F.xxhash64("_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    deal = F.pmod(F.xxhash64(*pair), F.lit(groups)).alias("_group")
     q = queries.join(sizes, cell).withColumn("_qc", mine("_nq")).withColumn("_cc", every("_nc"))
     c = candidates.join(sizes, cell).withColumn("_cc", mine("_nc")).withColumn("_qc", every("_nq"))
-    keys = [*cell, "_qc", "_cc"]
-    q = q.select(*keys, "_id", "_u")
-    c = c.select(*keys, F.col("_id").alias("_cid"), "_u", "_ids")
+    q = q.select(deal, *pair, "_id", "_u")
+    c = c.select(deal, *pair, F.col("_id").alias("_cid"), "_u", "_ids")
     types = {f.name: f.dataType.simpleString() for f in candidates.schema}
     schema = f"_b {types['_b']}, _id {types['_id']}, _s double, _cid {types['_id']}, _ids {types['_ids']}"
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        rows, scores, picks = [], [], []
         if len(left) and len(right):
-            units, ids = np.vstack(right["_u"].to_numpy()), right["_cid"].to_numpy()
-            top = min(k, len(ids))
-            for start in range(0, len(left), SLICE):
-                part = left.iloc[start : start + SLICE]
-                scores = np.round(np.vstack(part["_u"].to_numpy()) @ units.T, DIGITS) + 0.0
-                scores[part["_id"].to_numpy()[:, None] == ids[None, :]] = EMPTY_SLOT
-                limit = np.partition(scores, len(ids) - top, axis=1)[:, len(ids) - top]
-                for row, low, query in zip(scores, limit, part["_id"].to_numpy()):
-                    at = np.flatnonzero((row >= low) & (row > EMPTY_SLOT))
-                    order = at[np.lexsort((ids[at].astype(str) if ids.dtype == object else ids[at], -row[at]))][:top]
-                    found += [(query, row[i], i) for i in order]
-        place = [i for _, _, i in found]
+            here, there = (x.groupby(pair, sort=False).indices for x in (left, right))
+            units_q, units_c = (np.vstack(x["_u"].to_numpy()) for x in (left, right))
+            ids_q, ids_c = left["_id"].to_numpy(), right["_cid"].to_numpy()
+            for key, at in here.items():
+                to = there.get(key)
+                if to is None:
+                    continue
+                for i, score, j in _block_best(units_q[at], ids_q[at], units_c[to], ids_c[to], k):
+                    rows.append(at[i])
+                    scores.append(score)
+                    picks.append(to[j])
+        taken = lambda series, at: series.iloc[at].astype(object).reset_index(drop=True)
         return pd.DataFrame(
             {
-                "_b": left["_b"].iloc[0] if len(left) else None,
-                "_id": [q for q, _, _ in found],
-                "_s": [s for _, s, _ in found],
-                "_cid": right["_cid"].iloc[place].to_numpy(),
-                "_ids": right["_ids"].iloc[place].to_numpy(),
+                "_b": taken(left["_b"], rows),
+                "_id": taken(left["_id"], rows),
+                "_s": pd.Series(scores, dtype=float),
+                "_cid": taken(right["_cid"], picks),
+                "_ids": taken(right["_ids"], picks),
             }
         )
 
-    return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(best, schema)
+    return q.groupBy("_group").cogroup(c.groupBy("_group")).applyInPandas(best, schema)
 
 
 def _merge(scored: DataFrame, k: int) -> DataFrame:
@@ -153,7 +178,7 @@ def _visits(placed: DataFrame, own: DataFrame, pivots: np.ndarray, radius: dict[
                 near = (d - reach[None, :] <= limit) & ~(plane > limit + 1e-9)
                 near[np.arange(len(d)), cell] = False
                 row, other = np.nonzero(near)
-                yield part[["_b", "_id", "_u"]].iloc[row].assign(_cell=other.astype("int32"))
+                yield part[["_b", "_id", "_u"]].iloc[row].astype(object).assign(_cell=other.astype("int32"))
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     return rows.mapInPandas(visit, f"_b {types['_b']}, _id {types['_id']}, _u array<double>, _cell int")
@@ -231,27 +256,37 @@ def cosine_topk_lsh(
     k: int,
     id_column: str,
     vector: str,
-    tables: int = 8,
-    bucket_length: float = 0.5,
+    tables: int = 16,
+    projections: int = 8,
+    width: float = 2.0,
     seed: int = 42,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """Approximate top-k: rows are compared only where a random projection of their unit vectors
-    falls into the same bucket, in any of several hash tables.
+    """Approximate top-k: rows are compared only where all ``projections`` of a hash table put
+    their unit vectors into the same slot, in at least one of ``tables`` tables.
 
-    Buckets take the place of blocks in the exact operator, so a hot bucket is split into chunks.
+    ``width`` is the slot length in units of 1/sqrt(dimension), the spread of a projection. More
+    projections prune more, more tables find more; neighbours that are not close (in 64 random
+    dimensions, say) are missed. Buckets take the place of blocks in the exact operator, so a hot
+    bucket is split into chunks.
     """
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     unit = F.transform(vector, lambda x: F.coalesce(F.try_divide(x.cast("double"), F.col("_norm")), F.lit(0.0)))
-    rows = df.withColumn("_norm", norm).select(F.col(id_column), unit.alias("_unit"))
+    rows = df.where(F.col(vector).isNotNull()).withColumn("_norm", norm).select(F.col(id_column), unit.alias("_unit"))
+    some = rows.select(F.size("_unit").alias("n")).first()
+    length = width / math.sqrt(some["n"]) if some else width
     rows = rows.withColumn("_v", array_to_vector("_unit"))
     model = BucketedRandomProjectionLSH(
-        inputCol="_v", outputCol="_h", bucketLength=bucket_length, numHashTables=tables, seed=seed
+        inputCol="_v", outputCol="_h", bucketLength=length, numHashTables=tables * projections, seed=seed
     ).fit(rows)
+    slots = F.concat_ws(",", F.transform("_h", lambda v: v.cast("string")))
+    hashes = F.split("_slots", ",")
+    bucket = F.transform(
+        F.sequence(F.lit(0), F.lit(tables - 1)),
+        lambda i: F.concat_ws(":", i.cast("string"), F.slice(hashes, i * projections + 1, projections)),
+    )
     hashed = durable(
-        model.transform(rows).select(id_column, "_unit", F.posexplode("_h").alias("_table", "_hash")).select(
-            id_column, "_unit", F.concat_ws(":", F.col("_table"), F.col("_hash").cast("string")).alias("_bucket")
-        ),
+        model.transform(rows).withColumn("_slots", slots).select(id_column, "_unit", F.explode(bucket).alias("_bucket")),
         "hashed",
     )
     near = cosine_topk(hashed, k, id_column, "_unit", within=F.col("_bucket"), pivots=1, chunk=chunk)

@@ -156,12 +156,17 @@ R.add(
 )
 
 
+def _vectors(t: Tables) -> DataFrame:
+    return durable(_scaled(t).select("product_id", F.array(*_Z).alias("v")), "vectors")
+
+
 def _lsh_recall(t: Tables) -> DataFrame:
-    exact = durable(S.cosine_topk(t.embeddings, 5, "vec_id", "embedding"), "exact")
-    return S.recall(S.cosine_topk_lsh(t.embeddings, 5, "vec_id", "embedding"), exact, "vec_id")
+    rows = _vectors(t)
+    exact = durable(S.cosine_topk(rows, 5, "product_id", "v"), "exact")
+    return S.recall(S.cosine_topk_lsh(rows, 5, "product_id", "v"), exact, "product_id")
 
 
-R.add("q_cosine_topk_lsh", lambda t: S.cosine_topk_lsh(t.embeddings, 5, "vec_id", "embedding"))
+R.add("q_cosine_topk_lsh", lambda t: S.cosine_topk_lsh(_vectors(t), 5, "product_id", "v"))
 R.add("q_lsh_recall", _lsh_recall)
 
 # --- recommendations for the best-selling product ------------------------------------------------

@@ -52,11 +52,14 @@ def test_text_ids_and_few_rows(frame):
     assert got == {("a", "b", 1.0, 1), ("a", "c", 0.0, 2), ("b", "a", 1.0, 1), ("b", "c", 0.0, 2), ("c", "a", 0.0, 1), ("c", "b", 0.0, 2)}
 
 
-def test_lsh_recall(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    exact = S.cosine_topk(df, 5, "vec_id", "embedding")
-    near = S.cosine_topk_lsh(df, 5, "vec_id", "embedding")
-    assert S.recall(near, exact, "vec_id").first()["recall"] >= 0.9
+def test_lsh_recall(frame):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 24))
+    data = [(i, (centres[i % 40] + rng.normal(size=24) * 0.2).tolist()) for i in range(600)]
+    df = frame(data, "id bigint, v array<double>")
+    near = S.cosine_topk_lsh(df, 5, "id", "v")
+    assert S.recall(near, S.cosine_topk(df, 5, "id", "v"), "id").first()["recall"] >= 0.9
+    assert near.count() <= 5 * 600
 
 
 FEATURES = (
