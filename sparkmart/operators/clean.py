@@ -136,3 +136,9 @@ def clean_all(raw: Mapping[str, DataFrame], folder: str) -> dict[str, tuple[int,
         overwrite(cleaned, f"{folder}/clean_{table}", gate)
         counts[table] = (before.get["n"], after.get["n"])
     return counts
+
+
+def register_views(raw: Mapping[str, DataFrame]) -> None:
+    """The clean layer as views over the raw tables, for SQL users; nothing is stored."""
+    for table, df in raw.items():
+        clean(df, table).createOrReplaceTempView(f"clean_{table}")

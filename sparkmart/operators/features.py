@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkmart.functions.exprs import exact_avg, exact_sum
 from sparkmart.operators.ordering import ROWS_PER_RANGE, exact_quantiles, rank_rows
 from sparkmart.operators.quality import check_table, enforce, feature_checks
-from sparkmart.session import durable
+from sparkmart.session import durable, durable_counted
 from sparkmart.sources.sinks import export_csv, overwrite
 
 FEATURE_COLS = ["brand_encoded", "listing_price", "discount", "revenue", "rating", "review_count"]
@@ -55,11 +55,13 @@ def feature_base(finance: DataFrame, info: DataFrame, brands: DataFrame, reviews
     )
 
 
-def medians(df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> dict[str, float]:
+def medians(
+    df: DataFrame, columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE, n_rows: int | None = None
+) -> dict[str, float]:
     """Exact median of each column's non-null values: one number per column reaches the driver."""
     pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns))
     long = df.select(F.inline(pairs))
-    found = exact_quantiles(long, "value", {"median": 0.5}, ["column"], rows_per_range)
+    found = exact_quantiles(long, "value", {"median": 0.5}, ["column"], rows_per_range, n_rows=n_rows)
     return {r["column"]: r["median"] for r in found.collect()}
 
 
@@ -68,10 +70,13 @@ def zero_as_missing(df: DataFrame, column: str = "rating") -> DataFrame:
 
 
 def impute_medians(
-    df: DataFrame, columns: Sequence[str] = ("listing_price", "review_count", "rating"), rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame,
+    columns: Sequence[str] = ("listing_price", "review_count", "rating"),
+    rows_per_range: int = ROWS_PER_RANGE,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Missing values become the median of the column; a missing discount becomes 0."""
-    fill = {c: m for c, m in medians(df, columns, rows_per_range).items() if m is not None}
+    fill = {c: m for c, m in medians(df, columns, rows_per_range, n_rows).items() if m is not None}
     return df.fillna({**fill, "discount": 0.0})
 
 
@@ -106,8 +111,8 @@ def features_products(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """All feature steps. The joined base is written once, as the medians read it before the rest does."""
-    base = durable(feature_base(finance, info, brands, reviews), "feature-base")
-    filled = impute_medians(zero_as_missing(base), rows_per_range=rows_per_range)
+    base, n = durable_counted(feature_base(finance, info, brands, reviews), "feature-base")
+    filled = impute_medians(zero_as_missing(base), rows_per_range=rows_per_range, n_rows=n)
     kept = drop_nonpositive_price(filled, counter)
     return label_encode(log_revenue(kept)).select(*OUTPUT_COLS)
 

@@ -17,7 +17,7 @@ from operator import add, and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.session import durable
+from sparkmart.session import durable, durable_counted
 
 ROWS_PER_RANGE = 1_000_000
 SKETCH_ACCURACY = 10_000
@@ -56,8 +56,8 @@ def running_totals(
 
     ``counts`` is written first, because its size decides the ranges and the ranges are read twice.
     """
-    counts = durable(counts, "value-counts")
-    ranged, n_ranges = _ranged(counts, value, counts.count(), rows_per_range)
+    counts, n_rows = durable_counted(counts, "value-counts")
+    ranged, n_ranges = _ranged(counts, value, n_rows, rows_per_range)
     groups, weights = list(groups), list(weights)
     direction = F.desc if descending else F.asc
 
@@ -105,8 +105,7 @@ def rank_rows(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``rank()`` over the whole table (equal values share the lowest rank, NULLs come last)."""
-    base = durable(df, "rank-input")
-    n = base.count()
+    base, n = durable_counted(df, "rank-input")
     order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
     if n <= rows_per_range:  # checked: one range of rows, so one sort is fine
         return base.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
@@ -129,6 +128,7 @@ def exact_quantiles(
     groups: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
     accuracy: int = SKETCH_ACCURACY,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation; one column per named probability.
 
@@ -136,9 +136,13 @@ def exact_quantiles(
     first brackets each quantile; then all rows are counted, but only values inside a bracket
     (about 4 / accuracy of them) stay apart, and the rest collapse to one count per side. So two
     scans and a small shuffle replace a sort of the data. Should a quantile lie outside its
-    bracket, all values are counted instead.
+    bracket, all values are counted instead. A caller that knows ``n_rows`` to be small gets the
+    built-in aggregate.
     """
     groups = list(groups)
+    if n_rows is not None and n_rows <= rows_per_range:
+        exact = [F.percentile(F.col(value).cast("double"), F.lit(p)).alias(name) for name, p in probabilities.items()]
+        return df.where(F.col(value).isNotNull()).groupBy(*groups).agg(*exact)
     rows = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     result = durable(_quantiles(_bracketed(rows, groups, probabilities, accuracy), groups, probabilities, rows_per_range), "quantiles")
     if not result.where(~F.col("_exact")).isEmpty():

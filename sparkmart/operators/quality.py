@@ -86,6 +86,11 @@ def duplicates(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     return sums.select(F.inline(F.array(row)))
 
 
+def require_unique(df: DataFrame, name: str, keys: Sequence[str]) -> None:
+    """Stop unless every key occurs once: what a unique index would refuse. Use it as a write gate."""
+    enforce(duplicates(df, name, keys).withColumn("severity", F.lit(ERROR)))
+
+
 def check_table(
     df: DataFrame, name: str, critical: Sequence[str] = (), keys: Sequence[str] = (), min_rows: int = 1
 ) -> DataFrame:

@@ -24,7 +24,7 @@ from sparkmart.functions.exprs import money_text, percent_text
 from sparkmart.operators.features import FEATURE_COLS, complete_rows, standard_scale
 from sparkmart.operators.marts import keep_best
 from sparkmart.operators.ordering import ROWS_PER_RANGE, attach_by_value
-from sparkmart.session import durable
+from sparkmart.session import durable, durable_counted
 from sparkmart.sources.sinks import overwrite, read_current
 
 CHUNK = 4096  # rows of one side in one task
@@ -210,10 +210,9 @@ def cosine_topk(
     few = rows.withColumn("_rn", F.row_number().over(first)).where(F.col("_rn") <= k + 1)
     members = few.groupBy(*group).agg(F.sort_array(F.collect_list("_id")).alias("_ids"))
     counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    distinct = durable(
+    distinct, total = durable_counted(
         members.join(counts, group).select("_b", F.col("_ids")[0].alias("_id"), "_ids", "_n", "_vec"), "vectors"
     )
-    total = distinct.count()
     if pivots is None:
         pivots = 1 if total <= chunk else min(MAX_PIVOTS, math.isqrt(total))
     chosen = distinct.orderBy(F.xxhash64("_id"), "_id").select("_vec").limit(pivots).toPandas()

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,3 +60,10 @@ def durable(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def durable_counted(df: DataFrame, label: str = "table") -> tuple[DataFrame, int]:
+    """``durable`` and the number of rows, observed by the job that writes."""
+    seen = Observation()
+    written = durable(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return written, seen.get["n"]

@@ -1,7 +1,7 @@
 import pytest
 
 from sparkmart.functions.exprs import clip, number
-from sparkmart.operators.clean import clean, clean_all, clean_rejects
+from sparkmart.operators.clean import clean, clean_all, clean_rejects, register_views
 from sparkmart.operators.quality import ValidationError
 from sparkmart.sources.schemas import CLEAN, RAW, SchemaDrift, conform, from_source
 from sparkmart.sources.sinks import read_current
@@ -97,3 +97,8 @@ def test_clip_keeps_null_and_number_is_tolerant(frame):
     assert rows(df) == [(None,), (5.0,)]
     text = frame([("1e3",), (".5",), ("Infinity",), ("+2",), ("",)], "s string").select(number("s"))
     assert [r[0] for r in rows(text)] == [1000.0, 0.5, None, 2.0, None]
+
+
+def test_views(spark, frame):
+    register_views({"brands": frame([("P1", " a "), ("P2", None)], RAW["brands"])})
+    assert rows(spark.sql("SELECT brand FROM clean_brands")) == [("A",)]

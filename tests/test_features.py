@@ -83,3 +83,9 @@ def test_build_features_refuses_an_empty_result(frame, tmp_path):
     finance, info, brands, reviews = sources(frame)
     with pytest.raises(ValidationError):
         FE.build_features(finance.withColumn("listing_price", F.lit(0.0)), info, brands, reviews, str(tmp_path))
+
+
+@pytest.mark.parametrize("rows_per_range", [2, 1000])
+def test_large_and_small_inputs_agree(frame, rows_per_range):
+    got = by_id(FE.features_products(*sources(frame), rows_per_range=rows_per_range))
+    assert got["P2"]["rating"] == 4.5 and got["P1"]["brand_encoded"] == 0

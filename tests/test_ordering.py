@@ -59,13 +59,13 @@ def test_running_totals_many_ranges(frame):
         assert r["total_n"] == 400
 
 
-@pytest.mark.parametrize("accuracy", [20, 10_000])
-def test_bracketed_quantiles_are_exact(frame, accuracy):
+@pytest.mark.parametrize("accuracy, n_rows", [(20, None), (10_000, None), (20, 10)])
+def test_bracketed_quantiles_are_exact(frame, accuracy, n_rows):
     values = [v for _, v in skewed(900)] + [float(i) for i in range(100, 400)]
     random.Random(4).shuffle(values)
     got = O.exact_quantiles(
         frame([(v,) for v in values], "v double"), "v", {"a": 0.5, "b": 0.25, "c": 0.99, "d": 0.0, "e": 1.0},
-        rows_per_range=50, accuracy=accuracy,
+        rows_per_range=50, accuracy=accuracy, n_rows=n_rows,
     ).first()
     assert list(got) == pytest.approx([float(np.quantile(values, p)) for p in (0.5, 0.25, 0.99, 0.0, 1.0)])
 

@@ -59,3 +59,9 @@ def test_mart_gate(frame):
     }
     failed = {r["table"] for r in Q.mart_gate(marts).collect() if not r["passed"]}
     assert failed == {"product_revenue"}
+
+
+def test_require_unique(frame):
+    Q.require_unique(frame([("a",), ("b",)], "k string"), "t", ["k"])
+    with pytest.raises(Q.ValidationError, match="duplicates on k"):
+        Q.require_unique(frame([("a",), ("a",)], "k string"), "t", ["k"])
