@@ -308,7 +308,14 @@ R.add(
         FROM {{tested}}""",
 )
 _Z = normal_quantile(0.975)
-_CRITICAL = f"({_Z!r}e0 + {(_Z**3 + _Z) / 4!r}e0 / df + {(5 * _Z**5 + 16 * _Z**3 + 3 * _Z) / 96!r}e0 / (df * df))"
+# Student's quantile as a series in 1/df (Abramowitz and Stegun 26.7.5).
+_SERIES = (
+    (_Z**3 + _Z) / 4,
+    (5 * _Z**5 + 16 * _Z**3 + 3 * _Z) / 96,
+    (3 * _Z**7 + 19 * _Z**5 + 17 * _Z**3 - 15 * _Z) / 384,
+    (79 * _Z**9 + 776 * _Z**7 + 1482 * _Z**5 - 1920 * _Z**3 - 945 * _Z) / 92160,
+)
+_CRITICAL = f"({_Z!r}e0" + "".join(f" + {g!r}e0 / df ** {i + 1}" for i, g in enumerate(_SERIES)) + ")"
 _ARM = lambda x: ", ".join(f"{x}_{g}" for g in X.ARMS)
 _AB_DIGITS = {"statistic": 6, "p_value": 6, "ci_low": 2, "ci_high": 2, "effect_size": 6}
 _SPREAD = " + ".join(f"std_{g} * std_{g} / n_{g}" for g in X.ARMS)
