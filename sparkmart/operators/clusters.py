@@ -18,6 +18,7 @@ from sparkmart.sources.tables import table_exists
 
 # brand codes have no distance, and review_count repeats what revenue already says
 CLUSTER_COLS = ["revenue", "listing_price", "discount", "rating"]
+# Tier names from the lowest to the highest mean revenue.
 TIERS = ["Low Performer", "Mid Tier", "Premium"]
 RESULT = "product_id string, cluster_label string, cluster_id bigint, log_revenue double"
 RUNS = "run_name string, n_clusters int, silhouette_score double, cost double, model_path string"

@@ -13,6 +13,7 @@ from sparkmart.operators.quality import check_table, enforce, feature_checks
 from sparkmart.session import durable, durable_counted
 from sparkmart.sources.sinks import export_csv, overwrite
 
+# The columns similarity is computed on.
 FEATURE_COLS = ["brand_encoded", "listing_price", "discount", "revenue", "rating", "review_count"]
 OUTPUT_COLS = [
     "product_id",

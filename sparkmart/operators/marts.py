@@ -248,6 +248,7 @@ def most_visited(traffic: DataFrame, info: DataFrame, k: int = 10) -> DataFrame:
 
 # --- discounts ------------------------------------------------------------------------
 
+# Category names of the discount reports.
 DISCOUNT_LABELS = ("Discounted", "No Discount")
 
 

@@ -90,8 +90,11 @@ def attach_by_value(rows: DataFrame, table: DataFrame, key: str, count: str, hot
     """Join ``table`` (one row per key, ``count`` = rows holding it) to ``rows`` without a hot task.
 
     Keys with more than ``hot_over`` rows are broadcast: there are at most rows / hot_over of
-    them. All other keys are, by the same count, too small to be hot and are shuffled.
+    them. All other keys are, by the same count, too small to be hot and are shuffled. ``table``
+    is read several times and should be a written one.
     """
+    if table.where(F.col(count) > hot_over).isEmpty():
+        return rows.join(table, key)
     hot = F.broadcast(table.where(F.col(count) > hot_over))
     cold = table.where(F.col(count) <= hot_over)
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
@@ -114,6 +117,7 @@ def rank_rows(
     ranks = running_totals(counts, value, ["_n"], descending=descending, rows_per_range=rows_per_range).select(
         value, "_n", (F.col("before__n") + 1).alias(name)
     )
+    ranks = durable(ranks, "ranks")
     ranked = attach_by_value(known, ranks, value, "_n", rows_per_range).drop("_n")
     missing = base.where(F.col(value).isNull()).withColumn(
         name, (known.agg(F.count(F.lit(1))).scalar() + F.lit(1)).cast("bigint")

@@ -233,14 +233,17 @@ def cosine_topk(
     entries = lambda ids, n: F.transform(ids, lambda i: F.struct(n.alias("n"), i.alias("i")))
     others = F.coalesce(F.flatten(F.transform("_top", lambda t: entries(t["ids"], t["n"]))), F.array())
     ranked = F.slice(F.array_sort(F.concat(entries(F.col("_ids"), -F.col("_self")), others)), 1, k + 1)
-    answers = durable(
-        placed.join(top, ["_b", "_id"], "left")
-        .join(distinct.select("_b", "_id", "_vec"), ["_b", "_id"])
-        .select(F.struct("_b", "_vec").alias("_key"), "_n", ranked.alias("_near")),
-        "neighbours",
-    )
-    keyed = rows.select("_id", F.struct("_b", "_vec").alias("_key"))
-    joined = attach_by_value(keyed, answers, "_key", "_n", ROWS_PER_RANGE)
+    answers = durable(placed.join(top, ["_b", "_id"], "left").select("_b", "_id", "_ids", "_n", ranked.alias("_near")), "neighbours")
+    # Up to k + 1 copies are all named in the list; only larger groups are matched back to their rows.
+    few = F.col("_n") <= k + 1
+    joined = answers.where(few).select(F.explode("_ids").alias("_id"), "_near")
+    many = answers.where(~few)
+    if not many.isEmpty():
+        key = F.struct("_b", "_vec").alias("_key")
+        vectors = distinct.where(~few).select("_b", "_id", "_vec")
+        table = durable(many.join(vectors, ["_b", "_id"]).select(key, "_n", "_near"), "copies")
+        matched = attach_by_value(rows.select("_id", key), table, "_key", "_n", ROWS_PER_RANGE)
+        joined = joined.unionByName(matched.select("_id", "_near"))
     others = F.slice(F.filter("_near", lambda x: x["i"] != F.col("_id")), 1, k)
     return joined.select(F.col("_id").alias(id_column), F.posexplode(others).alias("_pos", "_x")).select(
         id_column,
