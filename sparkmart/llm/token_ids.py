@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 from itertools import chain
 
 import numpy as np
@@ -16,6 +17,22 @@ from sparkmart.llm.arrow_text import gather, run_sums, split_words
 _DOUBLE = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}] "
 
 
+#: Latin letters with marks that may follow them; such a word is two pre-tokens at most.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+_PROBES = ["word", "Word,", "ünïcödé.", "ÀÉ!?", "aß", "x;:", "the", "Étion", "ÿ...", "Don", "s", "re"]
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell the letters beyond ASCII that ``_PLAIN`` takes.
+
+    Printable bytes stand for themselves; the others are numbered from U+0100 in byte order.
+    """
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    spelled = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
 class WordStore:
     """Word -> ids, as slots into one flat array; the less used half goes when it is full."""
 
@@ -71,13 +88,48 @@ class TokenIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenizer.model._resize_cache(0)  # words come once
         self.spaces_matter = spaces_matter
-        self.inner = WordStore(lambda words: self._encode([" " + w for w in words] if spaces_matter else words), limit)
-        self.first = WordStore(self._encode, limit // 4)
+        self.letters = _byte_letters()
+        self.marks: dict[str, list[int]] = {"": []}
+        self.direct = True
+        for lead in (" ", "") if spaces_matter else ("",):
+            self.direct &= self._words(_PROBES, lead) == self._encode([lead + w for w in _PROBES])
+        self.inner = WordStore(lambda words: self._words(words, " " if spaces_matter else ""), limit)
+        self.first = WordStore(lambda words: self._words(words, ""), limit // 4)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str], lead: str) -> list[list[int]]:
+        """Ids of words after ``lead``. Plain words go to the library's BPE model at once.
+
+        Whether that gives the same ids is tried on a few words when the vocabulary is loaded.
+        """
+        if not self.direct:
+            return self._encode([lead + w for w in words])
+        model, plain, marks, letters = self.tokenizer.model.tokenize, _PLAIN.fullmatch, self.marks, self.letters
+        before, lower = "Ġ" if lead else "", not self.spaces_matter
+        out, rest = [], []
+        for w in words:
+            m = plain(w)
+            if m is None:
+                rest.append(lead + w)
+                out.append(None)
+                continue
+            core, mark = m.groups()
+            if lower:
+                core = core.lower()
+            if not core.isascii():
+                core = core.translate(letters)
+            if mark not in marks:
+                if len(marks) > 10_000:
+                    marks.clear()
+                marks[mark] = [t.id for t in model(mark)]
+            out.append([t.id for t in model(before + core)] + (marks[mark] if mark else []))
+        coded = iter(self._encode(rest))
+        return [next(coded) if ids is None else ids for ids in out]
+
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets), each text followed by ``end_id``."""
         gc.disable()
