@@ -17,9 +17,9 @@ from sparkmart.llm.arrow_text import gather, run_sums, split_words
 _DOUBLE = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}] "
 
 
-#: Latin letters with marks that may follow them; such a word is two pre-tokens at most.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
-_PROBES = ["word", "Word,", "ünïcödé.", "ÀÉ!?", "aß", "x;:", "the", "Étion", "ÿ...", "Don", "s", "re"]
+#: Latin letters with marks that may follow them, and the same again on the next line.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*))?")
+_PROBES = ["word", "Word,", "ünïcödé.", "ÀÉ!?", "aß", "x;:", "the", "Étion", "ÿ...", "Don", "s", "re", "end.\nÉt", "a\nb,", "so!\nThe..."]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -91,7 +91,7 @@ class TokenIds:
         self.tokenizer.model._resize_cache(0)  # words come once
         self.spaces_matter = spaces_matter
         self.letters = _byte_letters()
-        self.marks: dict[str, list[int]] = {"": []}
+        self.marks: dict[str, list[int]] = {}
         self.direct = True
         for lead in (" ", "") if spaces_matter else ("",):
             self.direct &= self._words(_PROBES, lead) == self._encode([lead + w for w in _PROBES])
@@ -111,22 +111,33 @@ class TokenIds:
         model, plain, marks, letters = self.tokenizer.model.tokenize, _PLAIN.fullmatch, self.marks, self.letters
         before, lower = "Ġ" if lead else "", not self.spaces_matter
         out, rest = [], []
+        line = [] if lower else [t.id for t in model("Ċ")]
+
+        def spell(lead: str, core: str, mark: str) -> list[int]:
+            if lower:
+                core = core.lower()
+            if not core.isascii():
+                core = core.translate(letters)
+            ids = [t.id for t in model(lead + core)]
+            if mark:
+                if mark not in marks:
+                    if len(marks) > 10_000:
+                        marks.clear()
+                    marks[mark] = [t.id for t in model(mark)]
+                ids += marks[mark]
+            return ids
+
         for w in words:
             m = plain(w)
             if m is None:
                 rest.append(lead + w)
                 out.append(None)
                 continue
-            core, mark = m.groups()
-            if lower:
-                core = core.lower()
-            if not core.isascii():
-                core = core.translate(letters)
-            if mark not in marks:
-                if len(marks) > 10_000:
-                    marks.clear()
-                marks[mark] = [t.id for t in model(mark)]
-            out.append([t.id for t in model(before + core)] + (marks[mark] if mark else []))
+            core, mark, core2, mark2 = m.groups()
+            ids = spell(before, core, mark)
+            if core2:
+                ids += line + spell("", core2, mark2)
+            out.append(ids)
         coded = iter(self._encode(rest))
         return [next(coded) if ids is None else ids for ids in out]
 
