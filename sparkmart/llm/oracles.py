@@ -73,3 +73,24 @@ g AS (
     n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
 )
 SELECT *, NOT base_failed AND {" AND ".join(tests)} AS kept FROM f"""
+
+
+def ngrams(n: int = 4, percent: int = 85) -> str:
+    later = ", ".join(f"lead(word, {k}) OVER o AS w{k}" for k in range(1, n))
+    joined = " || ' ' || ".join(["word"] + [f"w{k}" for k in range(1, n)])
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), w AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM d WHERE len(words) >= {n}),
+g AS (SELECT doc_id, word, {later} FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (
+  SELECT DISTINCT doc_id, {joined} AS gram FROM g WHERE w{n - 1} IS NOT NULL
+  UNION ALL SELECT doc_id, list_aggregate(words, 'string_agg', ' ') FROM d WHERE len(words) BETWEEN 1 AND {n - 1}
+), c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN c x ON x.doc_id = a JOIN c y ON y.doc_id = b WHERE 100 * k >= {percent} * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, min(r.b)::BIGINT AS component_id
+FROM d LEFT JOIN c USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY d.doc_id, c.n"""

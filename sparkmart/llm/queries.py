@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, oracles, packing, piece_rounds, quality, wavelet
+from sparkmart.llm import chat, line_dedup, ngram_join, oracles, packing, piece_rounds, quality, wavelet
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,12 +66,20 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.component_table(_table(spark, folder, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_chat_format, op2_packing, op4_token_output, op5_sentencepiece, op6_quality_rules)
+        for f in (op1_chat_format, op2_packing, op4_token_output, op5_sentencepiece, op6_quality_rules, op8_ngram_join, op10_line_dedup)
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": oracles.chat(), "op6_quality_rules": oracles.quality()}
+    return {"op1_chat_format": oracles.chat(), "op6_quality_rules": oracles.quality(), "op8_ngram_join": oracles.ngrams()}
