@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, line_dedup, ngram_join, oracles, packing, piece_rounds, quality, wavelet
+from sparkmart.llm import chat, langid, line_dedup, ngram_join, oracles, packing, piece_rounds, quality, toxicity, wavelet
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op4_token_output(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     read = wavelet.token_output(spark, docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -70,15 +75,30 @@ def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.component_table(_table(spark, folder, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, folder, "documents"))
 
 
+_ALL = (
+    op1_chat_format,
+    op2_packing,
+    op3_language_id,
+    op4_token_output,
+    op5_sentencepiece,
+    op6_quality_rules,
+    op8_ngram_join,
+    op9_toxicity,
+    op10_line_dedup,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_chat_format, op2_packing, op4_token_output, op5_sentencepiece, op6_quality_rules, op8_ngram_join, op10_line_dedup)
-    }
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
