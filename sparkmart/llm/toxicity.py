@@ -21,8 +21,8 @@ from sparkmart.llm.langid import held_out
 
 TRIM = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha())
 PREFIXES = (6, 5, 4)
-PRIOR = 200.0  # weight of the prior in words
-MIN_Z = 3.5
+PRIOR = 1.0  # documents that the prior of a feature counts for
+MIN_G = 20.0  # likelihood-ratio statistic from which a feature counts
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -31,26 +31,35 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
 
 
 def count_features(sample: DataFrame) -> DataFrame:
-    """Feature counts by class over sampled (text, toxic): feature, toxic_n, clean_n. A feature is a word or a prefix with ``*``."""
+    """Documents of each class that hold a feature, over sampled (text, toxic): feature, toxic_n, clean_n.
+
+    A feature is a word, or a prefix written with ``*``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch, "text"):
                 codes, words, offsets = _words(texts)
-                toxic = np.repeat(rows.column(1).to_numpy(zero_copy_only=False) == 1, np.diff(offsets))
-                ones = np.bincount(codes[toxic], minlength=len(words))
-                zeros = np.bincount(codes[~toxic], minlength=len(words))
+                toxic = rows.column(1).to_numpy(zero_copy_only=False) == 1
+                doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
                 size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
                 for width in (None, *PREFIXES):
-                    use = np.flatnonzero(size > (width or 0))
-                    names = words.take(pa.array(use))
+                    names = words
                     if width:
-                        cut = pc.utf8_slice_codeunits(names, 0, width)
+                        cut = pc.utf8_slice_codeunits(words, 0, width)
                         names = pc.binary_join_element_wise(cut, pa.scalar("*", cut.type), pa.scalar("", cut.type))
-                    table = pa.table({"feature": names.cast(pa.string()), "toxic_n": ones[use], "clean_n": zeros[use]})
-                    table = table.group_by("feature").aggregate([("toxic_n", "sum"), ("clean_n", "sum")])
-                    table = table.rename_columns(["feature", "toxic_n", "clean_n"])
-                    yield from table.combine_chunks().to_batches()
+                    named = names.dictionary_encode()
+                    of = named.indices.to_numpy(zero_copy_only=False)[codes].astype(np.int64)
+                    use = size[codes] > (width or 0)
+                    pair = np.unique(doc[use] * len(named.dictionary) + of[use])
+                    at, name = np.divmod(pair, max(len(named.dictionary), 1))
+                    ones = np.bincount(name[toxic[at]], minlength=len(named.dictionary))
+                    zeros = np.bincount(name[~toxic[at]], minlength=len(named.dictionary))
+                    keep = ones + zeros > 0
+                    yield pa.RecordBatch.from_arrays(
+                        [named.dictionary.filter(pa.array(keep)).cast(pa.string()), pa.array(ones[keep]), pa.array(zeros[keep])],
+                        names=["feature", "toxic_n", "clean_n"],
+                    )
 
     parts = sample.select("text", "toxic").mapInArrow(run, "feature string, toxic_n long, clean_n long")
     return parts.groupBy("feature").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("clean_n").alias("clean_n"))
@@ -70,17 +79,19 @@ class Scorer:
 
 
 def learn_scores(counts: pd.DataFrame, toxic_words: int, clean_words: int) -> Scorer:
-    """Log-odds with an informative Dirichlet prior (the pooled frequencies); features below ``MIN_Z`` score as ordinary words.
+    """Log-odds with an informative Dirichlet prior: a feature starts from ``PRIOR`` documents shared out as all words are.
 
-    Words that clean text uses too are kept as ordinary words where a prefix of theirs is a feature.
+    Features that the likelihood-ratio test does not tell from chance score as ordinary words. Words that clean text uses too
+    are kept as ordinary words where a prefix of theirs is a feature.
     """
     y1, y0 = counts["toxic_n"].to_numpy(float), counts["clean_n"].to_numpy(float)
-    prior = PRIOR * (y1 + y0 + 0.5) / max(toxic_words + clean_words, 1)
-    p1 = (y1 + prior) / (toxic_words + PRIOR)
-    p0 = (y0 + prior) / (clean_words + PRIOR)
+    share = toxic_words / (toxic_words + clean_words)
+    p1 = np.minimum((y1 + PRIOR * share) / (toxic_words + PRIOR), 0.9)
+    p0 = np.minimum((y0 + PRIOR * (1 - share)) / (clean_words + PRIOR), 0.9)
     odds = np.log(p1 / (1 - p1)) - np.log(p0 / (1 - p0))
-    z = odds / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-    good = (z >= MIN_Z) & (y1 >= 3) & (odds > 1.0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g = np.where(y1 > 0, y1 * np.log(y1 / ((y1 + y0) * share)), 0) + np.where(y0 > 0, y0 * np.log(y0 / ((y1 + y0) * (1 - share))), 0)
+    good = (2 * g >= MIN_G) & (y1 >= 3) & (odds > 1.0)
     names = counts["feature"].to_numpy(object)
     prefixes = {n for n in names[good] if n.endswith("*")}
     words = np.array([not n.endswith("*") for n in names])
