@@ -94,3 +94,15 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT d.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, min(r.b)::BIGINT AS component_id
 FROM d LEFT JOIN c USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY d.doc_id, c.n"""
+
+
+def topk(k: int = 20, every: int = 20, scale: int = 64) -> str:
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % {every} = 0 AND c.vec_id <> q.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {k}"""

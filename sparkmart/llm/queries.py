@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, langid, line_dedup, ngram_join, oracles, packing, piece_rounds, quality, toxicity, wavelet
+from sparkmart.llm import chat, langid, line_dedup, ngram_join, oracles, packing, piece_rounds, quality, top_products, toxicity, wavelet
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents"))
 
 
+def op7_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_products.top_products(_table(spark, folder, "embeddings"))
+
+
 def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.component_table(_table(spark, folder, "documents"))
 
@@ -91,6 +95,7 @@ _ALL = (
     op4_token_output,
     op5_sentencepiece,
     op6_quality_rules,
+    op7_topk,
     op8_ngram_join,
     op9_toxicity,
     op10_line_dedup,
@@ -102,4 +107,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": oracles.chat(), "op6_quality_rules": oracles.quality(), "op8_ngram_join": oracles.ngrams()}
+    return {"op1_chat_format": oracles.chat(), "op6_quality_rules": oracles.quality(), "op7_topk": oracles.topk(), "op8_ngram_join": oracles.ngrams()}
