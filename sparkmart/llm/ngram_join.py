@@ -209,3 +209,17 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     return placed.join(smallest, "root", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all their columns, without those whose group has a smaller doc_id.
+
+    Rows with a NULL id stay; rows with equal ids count as one document, of which one row stays.
+    """
+    table = durable(component_table(docs, n, percent), "components")
+    gone = table.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = join_checked(docs, gone, ["doc_id"], "left_anti", gone.count())
+    if table.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    return named.unionByName(kept.filter("doc_id IS NULL"))

@@ -281,3 +281,21 @@ def score_documents(docs: DataFrame, scorer: Scorer | None, threshold: float = 0
     )
     predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
     return out.select("doc_id", held_out().alias("held_out"), "score", predicted, "passages")
+
+
+def keep_clean(docs: DataFrame, scorer: Scorer | None, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all their columns, whose text scores below ``threshold``; NULL text is kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            if model is None:
+                yield batch
+                continue
+            for rows, texts in chunks(batch, "text"):
+                segments, words = passages(texts, model)
+                x = np.array([min(evidence(s, w, model), 60.0) for s, w in zip(segments, words.tolist())])
+                yield rows.filter(pa.array(1 / (1 + np.exp(-np.clip(model.base + model.slope * x, -30, 30))) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
