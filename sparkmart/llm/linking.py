@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.session import durable
@@ -12,6 +12,15 @@ from sparkmart.session import durable
 BROADCAST_ROWS = 1_000_000
 
 
+def filter_here(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter above the columns computed so far.
+
+    Pushed below them, the filter would compute its long expressions a second time. A condition that needs a
+    numbering of the rows stays where it is.
+    """
+    return df.withColumn("__here", F.monotonically_increasing_id()).filter((F.col("__here") >= 0) & condition).drop("__here")
+
+
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str, rows: int) -> DataFrame:
     """Join that broadcasts ``small`` only where its counted rows are few; otherwise Spark shuffles."""
     return big.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, on, how)

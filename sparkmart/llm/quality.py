@@ -10,6 +10,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.linking import filter_here
+
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
@@ -118,7 +120,5 @@ def judge(docs: DataFrame, rules=RULES, min_words: int = 50, max_repeat_pct: int
 def keep_good(docs: DataFrame, rules=RULES, min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
     """The rows, with their own columns, that ``judge`` keeps."""
     df = measures(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")))
-    df = df.select("row", "q.*").filter(
-        (F.col("n_words") >= min_words) & (F.col("n_repeat_words") * 100 <= F.col("n_words") * max_repeat_pct) & compile_rules(rules)
-    )
-    return df.select("row.*")
+    fine = (F.col("n_words") >= min_words) & (F.col("n_repeat_words") * 100 <= F.col("n_words") * max_repeat_pct)
+    return filter_here(df.select("row", "q.*"), fine & compile_rules(rules)).select("row.*")
