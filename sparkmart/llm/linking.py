@@ -53,11 +53,15 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def link_in_buckets(
-    buckets: DataFrame, keys: list[str], verify: Callable[[DataFrame], DataFrame]
+    buckets: DataFrame,
+    keys: list[str],
+    prepare: Callable[[DataFrame], DataFrame],
+    verify: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), roots (node, root)) over all pairs of nodes that share a bucket.
 
-    ``buckets`` has the key columns and ``node`` (long); ``verify`` keeps the true ones of pairs (a, b) and may be called twice.
+    ``buckets`` has the key columns and ``node`` (long). ``prepare`` gets the nodes (node) that share a bucket and returns what
+    is needed to compare them, which is written once; ``verify`` keeps the true ones of pairs (a, b) by that.
     First each node is tried against the smallest node of its buckets, which ties dense groups
     together with as many pairs as rows. Then only nodes of one bucket that are still in
     different groups are tried against each other, so no link that would join two groups is lost.
@@ -65,7 +69,8 @@ def link_in_buckets(
     span = buckets.groupBy(*keys).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").drop("hi")
     shared = durable(buckets.join(span, keys).distinct(), "shared-buckets")
     first = shared.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    links = durable(verify(durable(first, "star-pairs")), "star-links")
+    contents = durable(prepare(shared.select("node").distinct()), "contents")
+    links = durable(verify(durable(first, "star-pairs"), contents), "star-links")
     roots = components(links)
     placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy(*keys).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").drop("r1", "r2")
@@ -73,7 +78,7 @@ def link_in_buckets(
     x = open_.select(*keys, F.col("node").alias("a"), F.col("root").alias("ra"))
     y = open_.select(*keys, F.col("node").alias("b"), F.col("root").alias("rb"))
     cross = x.join(y, keys).filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = durable(verify(durable(cross, "cross-pairs")), "cross-links")
+    more = durable(verify(durable(cross, "cross-pairs"), contents), "cross-links")
     if more.isEmpty():
         return links, roots
     links = links.union(more)

@@ -22,6 +22,7 @@ from sparkmart.session import durable
 FRAGMENTS = 4
 FREQUENT_PER_TASK = 20_000
 FREQUENT = 200_000
+_LAST = (1 << 63) - 1  # stands for a NULL id
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -159,7 +160,7 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     buckets = durable(docs.mapInArrow(heads, "token long, node long"), "shingle-heads")
     firsts = members.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"))
     firsts = durable(firsts, "shingle-nodes")
-    texts = docs.withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    texts = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, times = frequent.value
@@ -184,26 +185,24 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                         names=["node", "fragment", "size", "shingles"],
                     )
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        sized = pairs.join(firsts.select(F.col("node").alias("a"), F.col("size").alias("na")), "a")
-        sized = sized.join(firsts.select(F.col("node").alias("b"), F.col("size").alias("nb")), "b")
-        fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-        sized = durable(sized.filter(fits), "sized-pairs")
-        wanted = sized.select(F.col("a").alias("node")).union(sized.select("b")).distinct()
-        wanted = durable(wanted.join(firsts, "node").select(F.coalesce("first", F.lit((1 << 63) - 1)).alias("key"), "node"), "wanted")
-        ids = wanted.select("key").distinct()
-        few = join_checked(texts, ids, ["key"], "left_semi", wanted.count())
-        sets = few.select("text").mapInArrow(fragments, "node long, fragment int, size long, shingles array<long>")
-        sets = durable(sets, "shingle-sets")
-        left = sets.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("x"))
-        right = sets.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("y"))
+    def segments(nodes: DataFrame) -> DataFrame:
+        wanted = durable(nodes.join(firsts, "node").select(F.coalesce("first", F.lit(_LAST)).alias("key")).distinct(), "wanted")
+        few = join_checked(texts, wanted, ["key"], "left_semi", wanted.count())
+        cut = few.select("text").mapInArrow(fragments, "node long, fragment int, size long, shingles array<long>")
+        return cut.dropDuplicates(["node", "fragment"])
+
+    def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
+        sizes = firsts.select("node", "size")
+        sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+        sized = durable(sized.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent), "sized-pairs")
+        left = held.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("x"))
+        right = held.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("y"))
         parts = sized.join(left, "a").join(right, ["b", "fragment"])
         overlap = F.size(F.array_intersect("x", "y")).cast("long").alias("overlap")
-        parts = parts.select("a", "b", "fragment", "na", "nb", overlap).distinct()
-        total = parts.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
+        total = parts.select("a", "b", "na", "nb", overlap).groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
         return total.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
-    _, roots = link_in_buckets(buckets, ["token"], verify)
+    _, roots = link_in_buckets(buckets, ["token"], segments, verify)
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
     return placed.join(smallest, "root", "left").select(
