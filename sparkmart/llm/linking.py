@@ -52,32 +52,52 @@ def components(links: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+CENTRES = 24
+
+
 def link_in_buckets(
     buckets: DataFrame,
-    keys: list[str],
+    key: str,
     prepare: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), roots (node, root)) over all pairs of nodes that share a bucket.
 
-    ``buckets`` has the key columns and ``node`` (long). ``prepare`` gets the nodes (node) that share a bucket and returns what
-    is needed to compare them, which is written once; ``verify`` keeps the true ones of pairs (a, b) by that.
-    First each node is tried against the smallest node of its buckets, which ties dense groups
-    together with as many pairs as rows. Then only nodes of one bucket that are still in
-    different groups are tried against each other, so no link that would join two groups is lost.
+    ``buckets`` has the key column and ``node``, both long. ``prepare`` gets the nodes (node) that share a bucket and returns
+    what is needed to compare them, which is written once; ``verify`` keeps the true ones of pairs (a, b) by that.
+
+    Each node is first tried against the smallest node of each of its buckets, then, where a bucket still holds several groups,
+    against up to ``CENTRES`` nodes of the most populous such bucket. Both take as many pairs as there are rows, or
+    a fixed multiple, and tie dense groups together. What is left, nodes of one bucket that are still in different groups, is
+    tried pair by pair, so no link that would join two groups is lost.
     """
-    span = buckets.groupBy(*keys).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").drop("hi")
-    shared = durable(buckets.join(span, keys).distinct(), "shared-buckets")
-    first = shared.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    span = buckets.groupBy(key).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").drop("hi")
+    shared = durable(buckets.join(span, key).distinct(), "shared-buckets")
     contents = durable(prepare(shared.select("node").distinct()), "contents")
+    first = shared.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
     links = durable(verify(durable(first, "star-pairs"), contents), "star-links")
     roots = components(links)
-    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy(*keys).agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 < r2").drop("r1", "r2")
-    open_ = durable(placed.join(mixed, keys).filter("node <> lo"), "open-buckets")
-    x = open_.select(*keys, F.col("node").alias("a"), F.col("root").alias("ra"))
-    y = open_.select(*keys, F.col("node").alias("b"), F.col("root").alias("rb"))
-    cross = x.join(y, keys).filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def open_buckets() -> DataFrame:
+        placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = placed.groupBy(key).agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n"))
+        return durable(placed.join(mixed.filter("r1 < r2").drop("r1", "r2"), key), "open-buckets")
+
+    still = open_buckets()
+    if still.isEmpty():
+        return links, roots
+    kind = F.pmod(F.xxhash64("node"), F.lit(CENTRES))
+    centres = still.groupBy(key).agg(*[F.min(F.when(kind == c, F.col("node"))).alias(f"c{c}") for c in range(CENTRES)])
+    centres = centres.select(key, F.explode(F.array(*[f"c{c}" for c in range(CENTRES)])).alias("centre")).filter("centre IS NOT NULL")
+    home = still.groupBy("node").agg(F.max_by(key, "n").alias(key))
+    near = home.join(centres, key).filter("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    more = durable(verify(durable(near.distinct(), "centre-pairs"), contents), "centre-links")
+    links = links.union(more)
+    roots = components(links)
+    still = open_buckets().filter("node <> lo")
+    x = still.select(key, F.col("node").alias("a"), F.col("root").alias("ra"))
+    y = still.select(key, F.col("node").alias("b"), F.col("root").alias("rb"))
+    cross = x.join(y, key).filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = durable(verify(durable(cross, "cross-pairs"), contents), "cross-links")
     if more.isEmpty():
         return links, roots

@@ -202,7 +202,7 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         total = parts.select("a", "b", "na", "nb", overlap).groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
         return total.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
-    _, roots = link_in_buckets(buckets, ["token"], segments, verify)
+    _, roots = link_in_buckets(buckets, "token", segments, verify)
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
     return placed.join(smallest, "root", "left").select(
