@@ -46,7 +46,8 @@ def number(c: Column | str, decimal_comma: bool = False) -> Column:
         text = F.replace(text, F.lit(","), F.lit("."))
     ends_well = F.substring(text, -1, 1).between(".", "9")
     hexadecimal = text.contains("x") | text.contains("X")
-    return F.when(ends_well & ~hexadecimal, text.try_cast("double"))
+    value = F.when(ends_well & ~hexadecimal, text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)  # "1e400" is no number either
 
 
 def title_case(c: Column | str) -> Column:
@@ -61,25 +62,35 @@ def is_blank(c: Column | str) -> Column:
 # Money arrives as double. Summing doubles gives results that depend on the order of the
 # rows; summing wide decimals is several times slower because they are boxed. So values are
 # turned into whole units of 10^-scale and summed as two bigints (high and low bits), which
-# neither rounds nor overflows for up to 2^43 rows, and combines before the shuffle.
+# neither rounds nor overflows for up to 2^43 rows, and combines before the shuffle. What a value
+# has beyond those units goes to a third part, a sum of doubles: the decimals below the scale
+# (exactly 0 for money), and the whole of a value too large for units. Infinity and NaN go
+# there too and make the sum what they make of any sum of doubles.
 
+_MAX_UNITS = float(1 << 53)  # larger whole numbers are not exact as double
 
-def _units(c: Column | str, scale: int) -> Column:
-    return F.rint(col(c) * F.lit(float(10**scale))).cast("bigint")
+
+def _split(c: Column | str, scale: int) -> tuple[Column, Column]:
+    """(whole units as bigint, the rest as double)."""
+    value, unit = col(c).cast("double"), F.lit(float(10**scale))
+    fits = F.abs(value) * unit < _MAX_UNITS  # false for Infinity, and for NaN, which sorts above all
+    units = F.when(fits, F.rint(value * unit)).when(value.isNotNull(), 0.0)
+    return units.cast("bigint"), F.when(fits, value - units / unit).otherwise(value)
 
 
 def sum_parts(c: Column | str, name: str, scale: int = MONEY_SCALE) -> list[Column]:
-    """First-level partial sum of a double column as ``<name>_hi`` and ``<name>_lo``."""
-    u = _units(c, scale)
+    """First-level partial sum of a double column as ``<name>_hi``, ``<name>_lo`` and ``<name>_rest``."""
+    units, rest = _split(c, scale)
     return [
-        F.sum(F.shiftright(u, _LOW_BITS)).alias(f"{name}_hi"),
-        F.sum(u.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint"))).alias(f"{name}_lo"),
+        F.sum(F.shiftright(units, _LOW_BITS)).alias(f"{name}_hi"),
+        F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint"))).alias(f"{name}_lo"),
+        F.sum(rest).alias(f"{name}_rest"),
     ]
 
 
 def merge_parts(name: str) -> list[Column]:
     """Partial sums added up again, still in parts."""
-    return [F.sum(f"{name}_{p}").alias(f"{name}_{p}") for p in ("hi", "lo")]
+    return [F.sum(f"{name}_{p}").alias(f"{name}_{p}") for p in ("hi", "lo", "rest")]
 
 
 def parts_decimal(hi: Column, lo: Column) -> Column:
@@ -87,21 +98,23 @@ def parts_decimal(hi: Column, lo: Column) -> Column:
     return (hi.cast("decimal(38,0)") * F.lit(1 << _LOW_BITS) + lo).cast("decimal(38,0)")
 
 
+def _total(hi: Column, lo: Column, rest: Column, scale: int) -> Column:
+    return parts_decimal(hi, lo).cast("double") / F.lit(float(10**scale)) + rest
+
+
 def parts_value(name: str, scale: int = MONEY_SCALE) -> Column:
     """Parts of one row (or one aggregate) as double."""
-    return parts_decimal(F.col(f"{name}_hi"), F.col(f"{name}_lo")).cast("double") / F.lit(float(10**scale))
+    return _total(F.col(f"{name}_hi"), F.col(f"{name}_lo"), F.col(f"{name}_rest"), scale)
 
 
 def sum_of_parts(name: str, scale: int = MONEY_SCALE) -> Column:
     """Aggregate: the total of already reduced parts as double."""
-    units = parts_decimal(F.sum(f"{name}_hi"), F.sum(f"{name}_lo"))
-    return units.cast("double") / F.lit(float(10**scale))
+    return _total(F.sum(f"{name}_hi"), F.sum(f"{name}_lo"), F.sum(f"{name}_rest"), scale)
 
 
 def exact_sum(c: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """Aggregate: order-independent sum of a double column."""
-    hi, lo = sum_parts(c, "s", scale)
-    return parts_decimal(hi, lo).cast("double") / F.lit(float(10**scale))
+    """Aggregate: sum of a double column, independent of the rows' order in all decimals of the scale."""
+    return _total(*sum_parts(c, "s", scale), scale)
 
 
 def exact_avg(c: Column | str, scale: int = MONEY_SCALE) -> Column:

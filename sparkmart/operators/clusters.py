@@ -90,7 +90,7 @@ def cluster_features(clusters: DataFrame, features: DataFrame) -> DataFrame:
 # --- choosing k --------------------------------------------------------------------------
 
 
-def elbow(features: DataFrame, ks: Iterable[int] = range(2, 11), restarts: int = 3, seed: int = 42) -> DataFrame:
+def elbow(features: DataFrame, ks: Iterable[int] = range(2, 11), restarts: int = 10, seed: int = 42) -> DataFrame:
     """(k, inertia) for a range of k."""
     points = cluster_input(features)
     rows = [(k, float(fit_kmeans(points, k, restarts, seed).summary.trainingCost)) for k in ks]
@@ -98,7 +98,7 @@ def elbow(features: DataFrame, ks: Iterable[int] = range(2, 11), restarts: int =
 
 
 def tune_k(
-    features: DataFrame, ks: Iterable[int] = range(2, 9), restarts: int = 1, seed: int = 42, model_folder: str | None = None
+    features: DataFrame, ks: Iterable[int] = range(2, 9), restarts: int = 10, seed: int = 42, model_folder: str | None = None
 ) -> DataFrame:
     """One run per k with its silhouette (squared Euclidean, which Spark evaluates without pairs;
     its values are not comparable with a Euclidean silhouette). Models are kept when a folder is given."""

@@ -15,11 +15,12 @@ import os
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.functions.exprs import clip, merge_parts, parts_value, round_even, sum_parts
 from sparkmart.operators.quality import ValidationError
+from sparkmart.session import durable
 from sparkmart.sources.sinks import overwrite
 from sparkmart.sources.state import MarkStore
 from sparkmart.sources.tables import table_exists
@@ -27,6 +28,7 @@ from sparkmart.sources.tables import table_exists
 EVENT_STEP = "event_ingestion"
 SNAPSHOT_STEP = "ingest"
 BATCHES = "event_batches"
+EVENT_IDS = "event_ids"
 
 
 # --- change detection and snapshots ----------------------------------------------------
@@ -141,23 +143,44 @@ def finish_parts(parts: DataFrame) -> DataFrame:
     )
 
 
+def unseen_events(events: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    """One row per ``event_id`` that no batch before ``batch_id`` holds; rows without an id all stay.
+
+    Ids are kept by day, so only the days of these events are looked up.
+    """
+    if "event_id" not in events.columns:
+        return events
+    named = events.where(F.col("event_id").isNotNull()).dropDuplicates(["event_id"])
+    path = os.path.join(folder, EVENT_IDS)
+    if table_exists(events.sparkSession, path):
+        kind = events.schema["event_id"].dataType.simpleString()
+        schema = f"event_id {kind}, batch_id int, event_day date"
+        known = events.sparkSession.read.schema(schema).parquet(path).where(F.col("batch_id") < batch_id)
+        days = named.select(F.to_date("event_timestamp").alias("event_day")).distinct()
+        known = known.join(days, "event_day", "left_semi").select("event_id")
+        named = named.join(known, "event_id", "left_anti")
+    return named.select(events.columns).unionByName(events.where(F.col("event_id").isNull()))
+
+
 def write_batch(events: DataFrame, folder: str, batch_id: int) -> tuple[int, datetime | None]:
-    """Aggregate one batch into its folder; returns (events, highest timestamp).
+    """Aggregate the unseen events of one batch into its folder; returns (events, highest timestamp).
 
-    Count, highest timestamp and the checks are observed by the job that writes.
+    The events are written once and checked before anything of them is kept. Ids and totals count only from the mark
+    on, and a repeated batch overwrites both.
     """
-    seen = Observation()
+    fresh = durable(unseen_events(events, folder, batch_id), "batch-events")
     missing = F.col("product_id").isNull() | F.col("revenue").isNull()
-    counted = events.observe(
-        seen,
+    got = fresh.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.col("event_timestamp").cast("timestamp")).alias("max_ts"),
         F.count_if(missing).alias("bad"),
-    )
-    batch_parts(counted).write.mode("overwrite").parquet(os.path.join(folder, BATCHES, f"batch_id={batch_id}"))
-    got = seen.get
+    ).first()
     if got["bad"]:
         raise ValidationError(f"new events: {got['bad']} rows without product_id or revenue")
+    if "event_id" in events.columns:
+        ids = fresh.where(F.col("event_id").isNotNull()).select("event_id", F.to_date("event_timestamp").alias("event_day"))
+        ids.write.mode("overwrite").partitionBy("event_day").parquet(os.path.join(folder, EVENT_IDS, f"batch_id={batch_id}"))
+    batch_parts(fresh).write.mode("overwrite").parquet(os.path.join(folder, BATCHES, f"batch_id={batch_id}"))
     return got["n"], got["max_ts"]
 
 
@@ -175,8 +198,9 @@ def ingest_incremental(events: DataFrame | None, folder: str) -> int:
     fresh = new_events(events, mark)
     if fresh.isEmpty():
         return 0
-    n, max_ts = write_batch(fresh, folder, last_batch + 1)
-    marks.set(EVENT_STEP, total + n, at=max_ts, detail=str(last_batch + 1))
+    n, _ = write_batch(fresh, folder, last_batch + 1)
+    newest = fresh.agg(F.max(F.col("event_timestamp").cast("timestamp"))).first()[0]
+    marks.set(EVENT_STEP, total + n, at=newest, detail=str(last_batch + 1))
     return n
 
 

@@ -28,6 +28,7 @@ from sparkmart.functions.exprs import (
     parts_decimal,
     round_even,
     share_pct,
+    merge_parts,
     sum_of_parts,
     sum_parts,
 )
@@ -77,10 +78,10 @@ def join_finance_brand(finance: DataFrame, brands: DataFrame) -> DataFrame:
     return finance.join(brands, "product_id")
 
 
-def line_export(finance: DataFrame, brands: DataFrame, info: DataFrame) -> DataFrame:
-    """Row-level export with name and brand. The two dimensions meet first, so the fact is
-    shuffled once at most; a hot product is split by the adaptive skew join."""
-    products = info.select("product_id", "product_name").join(brands, "product_id")
+def line_export(finance: DataFrame, brands: DataFrame, info: DataFrame, prices: DataFrame) -> DataFrame:
+    """Row-level export with name, brand and list price. The dimensions meet first and the fact joins
+    them once, with nothing above that reuses its partitioning, so the adaptive skew join can split a hot product."""
+    products = info.select("product_id", "product_name").join(brands, "product_id").join(prices, "product_id")
     return finance.join(products, "product_id").select(
         "product_id", "product_name", "brand", "listing_price", "discount", "revenue"
     )
@@ -191,7 +192,7 @@ def traffic_change(monthly: DataFrame) -> DataFrame:
 
 
 def monthly_product_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame:
-    """(month key, product_id, units) of the many-to-many join traffic x finance.
+    """(month key, product_id, units, rest) of the many-to-many join traffic x finance.
 
     Both sides are reduced first; the pairs of the fan-out are a multiplication, not rows.
     """
@@ -201,10 +202,13 @@ def monthly_product_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame
         .agg(_rows().alias("visits"))
     )
     revenue = per_product(finance).select(
-        "product_id", (parts_decimal(F.col("rev_hi"), F.col("rev_lo"))).alias("units")
+        "product_id", (parts_decimal(F.col("rev_hi"), F.col("rev_lo"))).alias("units"), F.col("rev_rest").alias("rest")
     )
     return visits.join(revenue, "product_id").select(
-        "month", "product_id", (F.col("units") * F.col("visits")).cast("decimal(38,0)").alias("units")
+        "month",
+        "product_id",
+        (F.col("units") * F.col("visits")).cast("decimal(38,0)").alias("units"),
+        (F.col("rest") * F.col("visits")).alias("rest"),
     )
 
 
@@ -212,14 +216,14 @@ def traffic_finance_join(traffic: DataFrame, finance: DataFrame) -> DataFrame:
     """Revenue per month and product over the fan-out."""
     units = monthly_product_revenue(traffic, finance)
     return units.select(
-        month_label(units, "month").alias("month"), "product_id", (F.col("units").cast("double") / F.lit(10000.0)).alias("total_revenue")
+        month_label(units, "month").alias("month"), "product_id", (F.col("units").cast("double") / F.lit(10000.0) + F.col("rest")).alias("total_revenue")
     )
 
 
 def monthly_revenue(traffic: DataFrame, finance: DataFrame) -> DataFrame:
     """Revenue by visit month."""
     units = monthly_product_revenue(traffic, finance)
-    totals = units.groupBy("month").agg((F.sum("units").cast("double") / F.lit(10000.0)).alias("total_revenue"))
+    totals = units.groupBy("month").agg((F.sum("units").cast("double") / F.lit(10000.0) + F.sum("rest")).alias("total_revenue"))
     return totals.withColumn("month", month_label(totals, "month")).orderBy("month")
 
 
@@ -406,9 +410,18 @@ def rating_group_average(finance: DataFrame, reviews: DataFrame) -> DataFrame:
 # --- prices and top lists -----------------------------------------------------------------
 
 
-def price_vs_revenue(finance: DataFrame, info: DataFrame) -> DataFrame:
-    """Average list price and revenue per name, dearest first."""
-    parts = per_product(finance, *sum_parts("listing_price", "price"), F.count("listing_price").alias("n_price"))
+def price_vs_revenue(finance: DataFrame, info: DataFrame, prices: DataFrame) -> DataFrame:
+    """Average list price over sales lines, and revenue, per name, dearest first.
+
+    A product has one list price, so lines are reduced to one row per product before the price joins, weighted
+    by their number.
+    """
+    lines = per_product(finance, F.count(F.lit(1)).alias("lines")).join(prices, "product_id")
+    weighted = lines.withColumn("_price", F.col("listing_price") * F.col("lines"))
+    parts = weighted.groupBy("product_id").agg(
+        *merge_parts("rev"), F.sum("n").alias("n"), *sum_parts("_price", "price"),
+        F.sum(F.when(F.col("listing_price").isNotNull(), F.col("lines"))).alias("n_price"),
+    )
     mean_price = F.try_divide(sum_of_parts("price"), F.sum("n_price").cast("double"))
     return (
         parts.join(info, "product_id")

@@ -278,17 +278,3 @@ def qq_points(
         )
     )
     return wide.select(*segments, F.inline(pairs))
-
-
-def sample_cap(df: DataFrame, id_column: str, groups: Sequence[str], cap: int = 5000, seed: int = 42, parts: int = 64) -> DataFrame:
-    """At most ``cap`` rows per group, the same rows on any cluster.
-
-    The rows with the smallest hashes are taken, first within ``parts`` slices of each group and
-    then among their survivors, so no task sorts a whole group.
-    """
-    tag = F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")))
-    rows = df.withColumn("_h", tag).withColumn("_part", F.pmod(F.xxhash64("_h"), F.lit(parts)))
-    for keys in ([*groups, "_part"], list(groups)):
-        order = Window.partitionBy(*keys).orderBy("_h", id_column)
-        rows = rows.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= cap)
-    return rows.drop("_h", "_part", "_rn")

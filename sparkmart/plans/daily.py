@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkmart.operators import clusters, features, incremental, marts, quality, similarity
 from sparkmart.operators.clean import clean_all
+from sparkmart.session import durable
 from sparkmart.sources.sinks import overwrite, read_current
 
 CATALOGUE = ("finance", "brands", "info", "reviews", "traffic")
@@ -26,7 +27,7 @@ def _current(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def build_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All marts from the clean layer, each published as its own table."""
+    """All marts from the clean layer: written, checked together, and only then published as tables of their own."""
     finance, brands, info, traffic = (
         _current(spark, folder, f"clean_{t}") for t in ("finance", "brands", "info", "traffic")
     )
@@ -40,7 +41,9 @@ def build_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     if totals is not None:
         totals = totals.withColumn("product_id", totals["product_id"].cast(info.schema["product_id"].dataType))
         built["event_revenue"] = marts.event_revenue(totals, info, brands)
-    return {name: overwrite(df, os.path.join(folder, f"analytics_{name}")) for name, df in built.items()}
+    written = {name: durable(df, f"mart-{name}") for name, df in built.items()}
+    quality.enforce(quality.mart_gate(written))
+    return {name: overwrite(df, os.path.join(folder, f"analytics_{name}")) for name, df in written.items()}
 
 
 def run(
@@ -62,7 +65,6 @@ def run(
     done["clean_rows"] = clean_all(raw, folder)
 
     built = build_marts(spark, folder)
-    quality.enforce(quality.mart_gate(built))
     done["marts"] = sorted(built)
 
     clean = {t: _current(spark, folder, f"clean_{t}") for t in CATALOGUE}

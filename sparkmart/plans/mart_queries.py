@@ -135,7 +135,7 @@ R.add(
 )
 R.add(
     "q_raw_data_export",
-    lambda t: M.line_export(t.finance, t.brands, t.info),
+    lambda t: M.line_export(t.finance_lines, t.brands, t.info, t.price_list),
     """SELECT product_id, product_name, brand, listing_price, discount, revenue
        FROM {finance} JOIN {brands} USING (product_id) JOIN {info} USING (product_id)""",
 )
@@ -268,10 +268,10 @@ _PRICES = f"""
            CAST(SUM(CAST(listing_price AS DECIMAL(18,4))) AS DOUBLE) / COUNT(listing_price) AS avg_listing_price,
            {MONEY} AS total_revenue
     FROM {{finance}} f JOIN {{info}} i USING (product_id) GROUP BY i.product_name"""
-R.add("q_price_vs_revenue", lambda t: M.price_vs_revenue(t.finance, t.info), _PRICES)
+R.add("q_price_vs_revenue", lambda t: M.price_vs_revenue(t.finance_lines, t.info, t.price_list), _PRICES)
 R.add(
     "q_price_top10",
-    lambda t: M.price_vs_revenue(t.finance, t.info).limit(10),
+    lambda t: M.price_vs_revenue(t.finance_lines, t.info, t.price_list).limit(10),
     _PRICES + " ORDER BY avg_listing_price DESC, product_name LIMIT 10",
 )
 R.add(

@@ -116,7 +116,7 @@ R.add(
        FROM {tiers} GROUP BY 1 UNION ALL SELECT 'Unknown', COUNT(*) FROM {features}""",
 )
 R.add("q_build_clusters", lambda t: C.product_clusters(_features(t)))
-R.add("q_elbow", lambda t: C.elbow(_features(t), range(2, 6), restarts=1))
+R.add("q_elbow", lambda t: C.elbow(_features(t)))
 R.add("q_tune_k", lambda t: C.compare_runs(C.tune_k(_features(t))))
 
 

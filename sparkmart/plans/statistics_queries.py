@@ -285,16 +285,6 @@ R.add(
         for i in range(_POINTS)
     ),
 )
-R.add(
-    "q_sample_cap",
-    lambda t: S.sample_cap(t.sales_events.withColumn("group", F.col("product_id") % 3), "event_id", ["group"], 200).select(
-        "group", "event_id", "revenue"
-    ),
-    """SELECT "group", event_id, revenue FROM (
-           SELECT *, ROW_NUMBER() OVER (PARTITION BY "group" ORDER BY md5(CAST(event_id AS VARCHAR) || ':42'), event_id) AS rn
-           FROM (SELECT *, product_id % 3 AS "group" FROM {sales_events})) WHERE rn <= 200""",
-)
-
 # --- experiments ---------------------------------------------------------------------------
 
 R.add("q_ab_assign", _arms, 'SELECT product_id, "group", value FROM {arms}')

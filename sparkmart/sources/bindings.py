@@ -25,6 +25,7 @@ BINDINGS: dict[str, str] = {
                l.l_extendedprice / l.l_quantity AS sale_price, l.l_discount AS discount,
                l.l_extendedprice * (1 - l.l_discount) AS revenue
         FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey""",
+    "price_list": "SELECT p_partkey AS product_id, p_retailprice AS listing_price FROM {part}",
     "brands": "SELECT p_partkey AS product_id, p_brand AS brand FROM {part}",
     "brands_with_gaps": """
         SELECT p_partkey AS product_id, CASE WHEN p_partkey % 23 = 0 THEN NULL ELSE p_brand END AS brand

@@ -6,6 +6,8 @@ the next start continues there. The same functions serve a running stream with a
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,18 +37,25 @@ def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet",
 
 
 def ingest_stream(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Batch totals per micro-batch into the same log as the batch path.
+    """Batch totals per micro-batch into the same log as the batch path, under the log's own numbers.
 
-    A repeated micro-batch overwrites its own folder and sets the same mark again.
+    Which micro-batch a number stands for is a mark named after the checkpoint. A micro-batch repeated after its mark is
+    skipped; one repeated before it, or read again under a new checkpoint, adds only events whose ids the log does
+    not hold. Batch and stream runs of one folder must not overlap in time: there is one writer.
     """
+    name = "stream:" + hashlib.md5(checkpoint.encode()).hexdigest()
 
     def step(batch: DataFrame, batch_id: int) -> None:
         marks = MarkStore(batch.sparkSession, folder)
+        done = marks.row(name)
+        if done and int(done["detail"]) >= batch_id:
+            return
         mark, total, last = _batch_row(marks)
-        n, max_ts = write_batch(batch, folder, batch_id)
-        if n and batch_id > last:
+        n, max_ts = write_batch(batch, folder, last + 1)
+        if n:
             newest = max_ts if mark is None else max(mark, max_ts)
-            marks.set(EVENT_STEP, total + n, at=newest, detail=str(batch_id))
+            marks.set(EVENT_STEP, total + n, at=newest, detail=str(last + 1))
+        marks.set(name, n, at=max_ts, detail=str(batch_id))
 
     return (
         events.writeStream.foreachBatch(step)

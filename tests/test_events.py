@@ -137,6 +137,37 @@ def test_stream_equals_batch_and_continues(spark, events, split_log, tmp_path):
     assert I.ingested_batches(spark, folder).select("batch_id").distinct().count() == 5
 
 
+def total(spark, folder):
+    return rows(I.cumulative_per_product(spark, folder))
+
+
+def test_batch_then_stream_then_lost_checkpoint(spark, events, split_log, tmp_path):
+    """One log, two ways in: neither counts an event twice, whatever the order."""
+    folder, want = str(tmp_path / "t"), rows(M.event_product_totals(events))
+    I.ingest_incremental(first(events, 40), folder)
+    I.ingest_incremental(first(events, 90), folder)
+    for checkpoint in ("c1", "c2"):
+        ST.run_to_end(ST.ingest_stream(ST.event_stream(spark, split_log, "*.parquet", 2), folder, str(tmp_path / checkpoint)))
+        assert total(spark, folder) == want
+    assert I.ingest_incremental(events, folder) == 0
+    assert MarkStore(spark, folder).row(I.EVENT_STEP)["last_row_count"] == events.count()
+
+
+def test_stream_then_batch(spark, events, split_log, tmp_path):
+    folder = str(tmp_path / "t")
+    early = ST.event_stream(spark, split_log, "*.parquet", 2).where("event_timestamp < timestamp'2024-01-10'")
+    ST.run_to_end(ST.ingest_stream(early, folder, str(tmp_path / "c")))
+    I.ingest_incremental(events, folder)
+    assert total(spark, folder) == rows(M.event_product_totals(events))
+
+
+def test_repeated_event_counts_once(spark, events, tmp_path):
+    folder = str(tmp_path)
+    some = first(events, 30)
+    assert I.ingest_incremental(some.unionByName(some), folder) == 30
+    assert total(spark, folder) == rows(M.event_product_totals(some))
+
+
 def test_stream_dedup_and_daily(spark, events, split_log, tmp_path):
     twice = ST.event_stream(spark, split_log, "*.parquet").unionByName(ST.event_stream(spark, split_log, "*.parquet"))
     ST.run_to_end(ST.to_parquet(ST.first_of_each_event(twice), str(tmp_path / "d"), str(tmp_path / "dc")))

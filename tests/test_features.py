@@ -9,11 +9,13 @@ BASE = (
     "product_id string, product_name string, brand string, listing_price double, discount double, "
     "revenue double, rating double, review_count double"
 )
+#: Seven products with known gaps: g2 has no rating, g5 neither price nor review count, g6 no discount.
 ROWS = [
-    ("P001", "Shoe A", "Alba", 100.0, 0.2, 5000.0, 4.5, 50.0),
-    ("P002", "Shoe B", "Nova", 150.0, 0.0, 3000.0, None, 30.0),
-    ("P003", "Shoe C", "Alba", None, 0.3, 7000.0, 3.8, None),
-    ("P004", "Shoe D", "Nova", 80.0, None, 4000.0, 4.0, 80.0),
+    (
+        f"g{k}", f"Item {k}", ("Kestrel", "Wren")[k % 2], None if k == 5 else 12.5 * k, None if k == 6 else k / 20,
+        31.0 * k * k, None if k == 2 else 1.0 + k / 2, None if k == 5 else 7.0 * k,
+    )
+    for k in range(1, 8)
 ]
 
 
@@ -23,15 +25,15 @@ def by_id(df):
 
 def test_impute(frame):
     got = by_id(FE.impute_medians(FE.zero_as_missing(frame(ROWS, BASE))))
-    assert got["P003"]["listing_price"] == 100.0 and got["P003"]["review_count"] == 50.0
-    assert got["P002"]["rating"] == 4.0 and got["P004"]["discount"] == 0.0
+    assert got["g5"]["listing_price"] == 43.75 and got["g5"]["review_count"] == 24.5
+    assert got["g2"]["rating"] == 3.25 and got["g6"]["discount"] == 0.0
 
 
 def test_zero_rating_is_missing(frame):
     rows = [list(r) for r in ROWS]
     rows[1][6] = 0.0
     got = by_id(FE.impute_medians(FE.zero_as_missing(frame([tuple(r) for r in rows], BASE))))
-    assert got["P002"]["rating"] == 4.0
+    assert got["g2"]["rating"] == 3.25
 
 
 def test_all_missing_column_stays_missing(frame):
@@ -44,12 +46,12 @@ def test_corrupt_price_dropped_and_counted(frame):
     rows[0][3] = 0.0
     seen = Observation()
     kept = FE.drop_nonpositive_price(FE.impute_medians(frame([tuple(r) for r in rows], BASE)), seen)
-    assert sorted(by_id(kept)) == ["P002", "P003", "P004"] and seen.get["dropped"] == 1
+    assert sorted(by_id(kept)) == ["g2", "g3", "g4", "g5", "g6", "g7"] and seen.get["dropped"] == 1
 
 
 def test_label_encoding(frame):
     got = by_id(FE.label_encode(frame(ROWS, BASE)))
-    assert {r["brand"]: r["brand_encoded"] for r in got.values()} == {"Alba": 0, "Nova": 1}
+    assert {r["brand"]: r["brand_encoded"] for r in got.values()} == {"Kestrel": 0, "Wren": 1}
 
 
 def test_standard_scale(frame):
