@@ -49,7 +49,7 @@ class WordStore:
             self._shrink()
         get = self.slot.get
         found = [get(w, -1) for w in words]
-        missing = [w for w, s in zip(words, found) if s < 0]
+        missing = list(dict.fromkeys(w for w, s in zip(words, found) if s < 0))
         if missing:
             ids = self.encode(missing)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
