@@ -52,7 +52,7 @@ def components(links: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-CENTRES = 24
+CENTRES = 8
 
 
 def link_in_buckets(

@@ -188,8 +188,7 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     def segments(nodes: DataFrame) -> DataFrame:
         wanted = durable(nodes.join(firsts, "node").select(F.coalesce("first", F.lit(_LAST)).alias("key")).distinct(), "wanted")
         few = join_checked(texts, wanted, ["key"], "left_semi", wanted.count())
-        cut = few.select("text").mapInArrow(fragments, "node long, fragment int, size long, shingles array<long>")
-        return cut.dropDuplicates(["node", "fragment"])
+        return few.select("text").mapInArrow(fragments, "node long, fragment int, size long, shingles array<long>")
 
     def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
         sizes = firsts.select("node", "size")
@@ -199,7 +198,9 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         right = held.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("y"))
         parts = sized.join(left, "a").join(right, ["b", "fragment"])
         overlap = F.size(F.array_intersect("x", "y")).cast("long").alias("overlap")
-        total = parts.select("a", "b", "na", "nb", overlap).groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
+        # a node may be held more than once where ids repeat; its rows are equal then
+        once = parts.select("a", "b", "na", "nb", "fragment", overlap).groupBy("a", "b", "na", "nb", "fragment").agg(F.max("overlap").alias("overlap"))
+        total = once.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
         return total.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
     _, roots = link_in_buckets(buckets, "token", segments, verify)
