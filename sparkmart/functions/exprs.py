@@ -64,10 +64,11 @@ def is_blank(c: Column | str) -> Column:
 # turned into whole units of 10^-scale and summed as two bigints (high and low bits), which
 # neither rounds nor overflows for up to 2^43 rows, and combines before the shuffle. What a value
 # has beyond those units goes to a third part, a sum of doubles: the decimals below the scale
-# (exactly 0 for money), and the whole of a value too large for units. Infinity and NaN go
+# (0 for money, where only rounding of the double is left), and the whole of a value too large for units. Infinity and NaN go
 # there too and make the sum what they make of any sum of doubles.
 
 _MAX_UNITS = float(1 << 53)  # larger whole numbers are not exact as double
+_NOISE = 1e-14  # a product of decimals is off by a few units in the last place of the double
 
 
 def _split(c: Column | str, scale: int) -> tuple[Column, Column]:
@@ -75,7 +76,9 @@ def _split(c: Column | str, scale: int) -> tuple[Column, Column]:
     value, unit = col(c).cast("double"), F.lit(float(10**scale))
     fits = F.abs(value) * unit < _MAX_UNITS  # false for Infinity, and for NaN, which sorts above all
     units = F.when(fits, F.rint(value * unit)).when(value.isNotNull(), 0.0)
-    return units.cast("bigint"), F.when(fits, value - units / unit).otherwise(value)
+    below = value - units / unit
+    noise = F.abs(below) <= F.abs(value) * F.lit(_NOISE)
+    return units.cast("bigint"), F.when(fits, F.when(noise, 0.0).otherwise(below)).otherwise(value)
 
 
 def sum_parts(c: Column | str, name: str, scale: int = MONEY_SCALE) -> list[Column]:
