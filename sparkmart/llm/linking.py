@@ -60,22 +60,34 @@ def link_in_buckets(
     key: str,
     prepare: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame, DataFrame], DataFrame],
+    may_link: Callable[[Column, Column, Column, Column], Column] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), roots (node, root)) over all pairs of nodes that share a bucket.
 
-    ``buckets`` has the key column and ``node``, both long. ``prepare`` gets the nodes (node) that share a bucket and returns
-    what is needed to compare them, which is written once; ``verify`` keeps the true ones of pairs (a, b) by that.
+    ``buckets`` has the key column, ``node``, ``pos`` and ``size``, all long. ``prepare`` gets the nodes (node) that share a
+    bucket and returns what is needed to compare them, which is written once; ``verify`` keeps the true ones of pairs
+    (a, b) by that. ``may_link`` of the positions and sizes of both rows of a bucket tells whether that bucket has to try
+    the pair; each true pair needs one bucket that does.
 
-    Each node is first tried against the smallest node of each of its buckets, then, where a bucket still holds several groups,
-    against up to ``CENTRES`` nodes of the most populous such bucket. Both take as many pairs as there are rows, or
-    a fixed multiple, and tie dense groups together. What is left, nodes of one bucket that are still in different groups, is
-    tried pair by pair, so no link that would join two groups is lost.
+    Each node is first tried against the first node, by ``pos``, of each of its buckets, then, where a bucket still holds
+    several groups, against up to ``CENTRES`` early nodes of the most populous such bucket. Both take as many pairs as there
+    are rows, or a fixed multiple, and tie dense groups together. What is left, nodes of one bucket that are still in
+    different groups, is tried pair by pair, so no link that would join two groups is lost.
     """
-    span = buckets.groupBy(key).agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").drop("hi")
+    allowed = may_link or (lambda p, n, q, m: F.lit(True))
+
+    def tried_pairs(both: DataFrame, condition: Column, label: str) -> DataFrame:
+        """Pairs (a, b) from rows of one bucket side by side: node, pos, size and node2, pos2, size2."""
+        both = both.filter(condition & allowed(F.col("pos"), F.col("size"), F.col("pos2"), F.col("size2")))
+        return durable(both.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), label)
+
+    early = F.struct("pos", "node", "size")
+    span = buckets.groupBy(key).agg(F.min(early).alias("lo"), F.min("node").alias("n1"), F.max("node").alias("n2"))
+    span = span.filter("n1 < n2").select(key, F.col("lo.node").alias("node2"), F.col("lo.pos").alias("pos2"), F.col("lo.size").alias("size2"))
     shared = durable(buckets.join(span, key).distinct(), "shared-buckets")
     contents = durable(prepare(shared.select("node").distinct()), "contents")
-    first = shared.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
-    links = durable(verify(durable(first, "star-pairs"), contents), "star-links")
+    first = tried_pairs(shared, F.col("node") != F.col("node2"), "star-pairs")
+    links = durable(verify(first, contents), "star-links")
     roots = components(links)
 
     def open_buckets() -> DataFrame:
@@ -87,18 +99,17 @@ def link_in_buckets(
     if still.isEmpty():
         return links, roots
     kind = F.pmod(F.xxhash64("node"), F.lit(CENTRES))
-    centres = still.groupBy(key).agg(*[F.min(F.when(kind == c, F.col("node"))).alias(f"c{c}") for c in range(CENTRES)])
-    centres = centres.select(key, F.explode(F.array(*[f"c{c}" for c in range(CENTRES)])).alias("centre")).filter("centre IS NOT NULL")
-    home = still.groupBy("node").agg(F.max_by(key, "n").alias(key))
-    near = home.join(centres, key).filter("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    more = durable(verify(durable(near.distinct(), "centre-pairs"), contents), "centre-links")
-    links = links.union(more)
+    centres = still.groupBy(key).agg(*[F.min(F.when(kind == c, early)).alias(f"c{c}") for c in range(CENTRES)])
+    centres = centres.select(key, F.explode(F.array(*[f"c{c}" for c in range(CENTRES)])).alias("c")).filter("c IS NOT NULL")
+    centres = centres.select(key, F.col("c.node").alias("node2"), F.col("c.pos").alias("pos2"), F.col("c.size").alias("size2"))
+    home = still.groupBy("node").agg(F.max_by(F.struct(key, "pos", "size"), F.struct("n", key)).alias("home")).select("node", "home.*")
+    near = tried_pairs(home.join(centres, key), F.col("node") != F.col("node2"), "centre-pairs")
+    links = links.union(durable(verify(near, contents), "centre-links"))
     roots = components(links)
-    still = open_buckets().filter("node <> lo")
-    x = still.select(key, F.col("node").alias("a"), F.col("root").alias("ra"))
-    y = still.select(key, F.col("node").alias("b"), F.col("root").alias("rb"))
-    cross = x.join(y, key).filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = durable(verify(durable(cross, "cross-pairs"), contents), "cross-links")
+    still = open_buckets().filter("node <> node2").select(key, "node", "pos", "size", "root")
+    other = still.select(key, *[F.col(c).alias(f"{c}2") for c in ("node", "pos", "size", "root")])
+    cross = tried_pairs(still.join(other, key), F.col("root") < F.col("root2"), "cross-pairs")
+    more = durable(verify(cross, contents), "cross-links")
     if more.isEmpty():
         return links, roots
     links = links.union(more)

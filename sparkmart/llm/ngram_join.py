@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.arrow_text import chunks, split_words
@@ -125,7 +125,8 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
 
     Equal sets are one node. A linked pair must share a shingle among the first size - ceil(percent * size / 100) + 1 of
     both in any common order. The order used puts the frequent shingles, as far as each task has counted
-    them in a bounded list, last; how good that list is changes the work and not the result. Within a bucket nodes
+    them in a bounded list, last; how good that list is changes the work and not the result. The first shingle a pair shares
+    bounds its overlap by what stands behind it in both, so a bucket tries only pairs that this bound allows. Within a bucket nodes
     are first tried against one of them and then only across groups, so a dense group costs as many pairs as it has rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -144,20 +145,27 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         names, times = frequent.value
         for batch in batches:
             for _, texts in chunks(batch, "text"):
-                nodes, tokens, sizes = [], [], []
+                nodes, tokens, places, sizes = [], [], [], []
                 for s in shingle_sets(texts, n):
                     if len(s):
                         ordered, _ = _ordered(s, names, times)
                         head = ordered[: len(s) - -(-percent * len(s) // 100) + 1]
                         tokens.append(head)
                         nodes.append(np.full(len(head), _node(s)))
-                        sizes.append(len(head))
+                        places.append(np.arange(len(head)))
+                        sizes.append(np.full(len(head), len(s)))
                 if nodes:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes))], names=["token", "node"]
+                        [
+                            pa.array(np.concatenate(tokens).view(np.int64)),
+                            pa.array(np.concatenate(nodes)),
+                            pa.array(np.concatenate(places)),
+                            pa.array(np.concatenate(sizes)),
+                        ],
+                        names=["token", "node", "pos", "size"],
                     )
 
-    buckets = durable(docs.mapInArrow(heads, "token long, node long"), "shingle-heads")
+    buckets = durable(docs.mapInArrow(heads, "token long, node long, pos long, size long"), "shingle-heads")
     firsts = members.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"))
     firsts = durable(firsts, "shingle-nodes")
     texts = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))
@@ -190,20 +198,21 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         few = join_checked(texts, wanted, ["key"], "left_semi", wanted.count())
         return few.select("text").mapInArrow(fragments, "node long, fragment int, size long, shingles array<long>")
 
+    def may_link(p: Column, n: Column, q: Column, m: Column) -> Column:
+        """If this is the first shared shingle in the common order, all shared ones stand at or behind it in both."""
+        return F.least(n - p, m - q) * (100 + percent) >= (n + m) * percent
+
     def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
-        sizes = firsts.select("node", "size")
-        sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        sized = durable(sized.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent), "sized-pairs")
-        left = held.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("x"))
-        right = held.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("y"))
-        parts = sized.join(left, "a").join(right, ["b", "fragment"])
+        left = held.select(F.col("node").alias("a"), "fragment", F.col("size").alias("na"), F.col("shingles").alias("x"))
+        right = held.select(F.col("node").alias("b"), "fragment", F.col("size").alias("nb"), F.col("shingles").alias("y"))
+        parts = pairs.join(left, "a").join(right, ["b", "fragment"])
         overlap = F.size(F.array_intersect("x", "y")).cast("long").alias("overlap")
         # a node may be held more than once where ids repeat; its rows are equal then
         once = parts.select("a", "b", "na", "nb", "fragment", overlap).groupBy("a", "b", "na", "nb", "fragment").agg(F.max("overlap").alias("overlap"))
         total = once.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
         return total.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
-    _, roots = link_in_buckets(buckets, "token", segments, verify)
+    _, roots = link_in_buckets(buckets, "token", segments, verify, may_link)
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
     return placed.join(smallest, "root", "left").select(
