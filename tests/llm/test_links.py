@@ -148,3 +148,59 @@ def test_pipeline_stages(spark, tmp_path):
             count = docs.count()
     assert docs.select("doc_id").distinct().count() == count
     assert oracles.ngrams(5, 80)
+
+
+def edit_distance(a, b):
+    """Levenshtein distance, bit-parallel."""
+    if not a:
+        return len(b)
+    mask, top, places = (1 << len(a)) - 1, 1 << (len(a) - 1), {}
+    for k, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << k
+    more, less, score = mask, 0, len(a)
+    for c in b:
+        eq = places.get(c, 0)
+        xv, xh = eq | less, (((eq & more) + more) ^ more) | eq
+        up, down = less | ~(xh | more) & mask, more & xh
+        score += bool(up & top) - bool(down & top)
+        up, down = (up << 1 | 1) & mask, (down << 1) & mask
+        more, less = down | ~(xv | up) & mask, up & xv
+    return score
+
+
+def brute_lines(texts, min_words=5, percent=20):
+    """Texts without repeated lines, all pairs of lines compared."""
+    lines = [(d, p, " ".join("".join(c if c.isalnum() else " " for c in line.lower()).split())) for d, t in enumerate(texts) for p, line in enumerate(t.split("\n"))]
+    lines = [x for x in lines if len(x[2].split()) >= min_words]
+    root = list(range(len(lines)))
+    for a, (_, _, x) in enumerate(lines):
+        for b, (_, _, y) in enumerate(lines[:a]):
+            room = max(len(x), len(y)) * percent // 100
+            if root[a] != root[b] and abs(len(x) - len(y)) <= room and edit_distance(x, y) <= room:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    gone = {lines[k][:2] for k in range(len(lines)) if root[k] != k}
+    return ["\n".join(line for p, line in enumerate(t.split("\n")) if (d, p) not in gone) for d, t in enumerate(texts)]
+
+
+def edited(pick, line, edits):
+    """The line with letters replaced in so many distinct words."""
+    words = line.split()
+    for k in pick.sample(range(len(words)), min(edits, len(words))):
+        at = pick.randrange(len(words[k]))
+        words[k] = words[k][:at] + pick.choice("qxzj") + words[k][at + 1 :]
+    return " ".join(words)
+
+
+def test_near_lines_against_brute_force(docs):
+    """Lines of 5 to 100 words with 1 to 5 edits, and with an edit in every word, each beside lines of its own vocabulary."""
+    pick = random.Random(8)
+    vocabulary = ["".join(pick.choice("abcdefghilmnoprstu") for _ in range(pick.randrange(3, 10))) for _ in range(300)]
+    texts = []
+    for n in (5, 7, 12, 20, 30, 50, 100):
+        for edits in (1, 2, 3, 4, 5, n):
+            line = " ".join(pick.choice(vocabulary) for _ in range(n))
+            texts += [f"{line}\nshort one", edited(pick, line, edits)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts)).collect()}
+    want = brute_lines(texts)
+    assert [got[k] for k in range(len(texts))] == want and want.count("") > 30
