@@ -204,3 +204,11 @@ def test_near_lines_against_brute_force(docs):
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts)).collect()}
     want = brute_lines(texts)
     assert [got[k] for k in range(len(texts))] == want and want.count("") > 30
+
+
+def test_lines_edited_at_both_ends(docs):
+    """A template with another number in front and another name behind, and five words with the middle one edited."""
+    middle = " ".join(f"part{k} of the notice" for k in range(12))
+    texts = [f"1201 {middle} signed miller", f"1377 {middle} signed walter", "seven brown horses running home", "seven brown horzes running home"]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts)).collect()}
+    assert [got[k] for k in range(4)] == [texts[0], "", texts[2], ""]
