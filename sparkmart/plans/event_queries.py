@@ -165,6 +165,22 @@ R.add(
             <= (SELECT MAX(event_timestamp) - INTERVAL 1 HOUR FROM {{sales_events}})""",
 )
 
+
+
+def _stream_daily_all(t: Tables) -> DataFrame:
+    """Every day of the log, the last one, which is still open, too."""
+    folder = new_folder(t.spark, "stream-daily")
+    S.run_to_end(S.upsert_daily(S.event_stream(t.spark, t.folder), f"{folder}/table", f"{folder}/checkpoint"))
+    return read_current(t.spark, f"{folder}/table", "event_date date, revenue double, event_count bigint")
+
+
+R.add(
+    "q_stream_daily_all",
+    _stream_daily_all,
+    f"""SELECT CAST(event_timestamp AS DATE) AS event_date, {MONEY} AS revenue, COUNT(*) AS event_count
+        FROM {{sales_events}} GROUP BY 1""",
+)
+
 # --- layout and cost -------------------------------------------------------------------------
 
 

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.functions.exprs import exact_sum
-from sparkmart.operators.incremental import BATCHES, EVENT_STEP, _batch_row, write_batch
+from sparkmart.operators.incremental import BATCHES, EVENT_STEP, _batch_row, upsert_latest, write_batch
+from sparkmart.session import durable
 from sparkmart.sources.bindings import BINDINGS
 from sparkmart.sources.schemas import SOURCES
+from sparkmart.sources.sinks import overwrite, read_current
 from sparkmart.sources.state import MarkStore
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -81,6 +83,31 @@ def daily_revenue(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
     )
 
 
+def upsert_daily(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Revenue per event day as a table that every micro-batch brings up to date, the open day included.
+
+    There is no watermark: an event counts on its day however late it comes, and the state is one row per day. A
+    repeated micro-batch replaces its days by the same totals. A new checkpoint counts from the start, so it needs a
+    folder of its own or a source that still holds all events.
+    """
+    daily = events.groupBy(F.to_date("event_timestamp").alias("event_date")).agg(
+        exact_sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("event_count")
+    )
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        days = durable(batch, "daily-updates")
+        current = read_current(batch.sparkSession, folder)
+        overwrite(days if current is None else upsert_latest(current, days, ["event_date"]), folder)
+
+    return (
+        daily.writeStream.outputMode("update")
+        .foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or AVAILABLE_NOW))
+        .start()
+    )
+
+
 def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     return (
         df.writeStream.format("parquet")

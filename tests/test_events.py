@@ -202,3 +202,14 @@ def test_cost(frame):
     got = [tuple(r)[2:] for r in L.cost_estimate(scans).collect()]
     assert got == [(6.25, 2.0, 4.0), (0.0, 0.0, 0.0)]
     assert L.with_reduction(frame([(1, 0)], "partitioned_bytes bigint, flat_bytes bigint")).first()["reduction_pct"] == 0.0
+
+
+def test_stream_daily_has_every_day_and_late_events(spark, events, tmp_path):
+    """The last day is there, and events that come after later days still count."""
+    folder, log = str(tmp_path / "t"), str(tmp_path / "log")
+    raw = spark.read.parquet(os.path.join(SF, "events.parquet"))
+    middle = raw.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    for part in (F.col("event_id") > middle, F.col("event_id") <= middle):  # later days first
+        raw.where(part).write.mode("append").parquet(log)
+        ST.run_to_end(ST.upsert_daily(ST.event_stream(spark, log, "*.parquet"), folder, str(tmp_path / "c")))
+    assert rows(read_current(spark, folder)) == rows(M.event_daily_revenue(events))
