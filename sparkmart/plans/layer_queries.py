@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.operators import features as FE
 from sparkmart.operators import quality as Q
 from sparkmart.operators.clean import clean, clean_rejects
-from sparkmart.operators.marts import brand_revenue, discount_impact
+from sparkmart.operators.marts import brand_revenue, discount_impact, monthly_traffic, product_revenue
 from sparkmart.plans.registry import Registry, Tables
 from sparkmart.session import durable
 from sparkmart.sources.sinks import new_version_copy
@@ -267,6 +268,29 @@ R.add(
     _rate_sql("brand_revenue", "(SELECT DISTINCT brand FROM {brands})", "brand", 1),
 )
 
+
+def _marts(t: Tables) -> dict[str, DataFrame]:
+    """The marts that must hold data before features are built."""
+    built = {
+        "brand_revenue": brand_revenue(t.finance_lines, t.brands),
+        "product_revenue": product_revenue(t.finance_lines, t.info, t.brands),
+        "monthly_traffic": monthly_traffic(t.traffic),
+    }
+    return {name: durable(df, f"mart-{name}") for name, df in built.items()}
+
+
+_MART_SQL = {
+    "brand_revenue": "(SELECT DISTINCT brand FROM {finance_lines} JOIN {brands} USING (product_id))",
+    "product_revenue": """(SELECT DISTINCT product_name, brand FROM {finance_lines}
+                           JOIN {info} USING (product_id) JOIN {brands} USING (product_id))""",
+    "monthly_traffic": "(SELECT DISTINCT strftime(last_visited, '%Y-%m') AS month FROM {traffic})",
+}
+R.add(
+    "q_dq_mart_gate_all",
+    lambda t: Q.mart_gate(_marts(t)),
+    " UNION ALL ".join(_rate_sql(m, _MART_SQL[m], c, n) for m, (c, n) in Q.MART_MINIMUM.items()),
+)
+
 # --- features ----------------------------------------------------------------------------
 
 

@@ -1,6 +1,7 @@
 import pytest
 
 from sparkmart.operators import quality as Q
+from tests.conftest import SF
 
 
 def result(df):
@@ -65,3 +66,14 @@ def test_require_unique(frame):
     Q.require_unique(frame([("a",), ("b",)], "k string"), "t", ["k"])
     with pytest.raises(Q.ValidationError, match="duplicates on k"):
         Q.require_unique(frame([("a",), ("a",)], "k string"), "t", ["k"])
+
+
+def test_registered_mart_gate_sees_every_mart(spark, monkeypatch):
+    """A product mart with fewer rows than it must have fails the query, though the brand mart is fine."""
+    from sparkmart.plans import layer_queries
+
+    whole = layer_queries.product_revenue
+    monkeypatch.setattr(layer_queries, "product_revenue", lambda *a: whole(*a).limit(3))
+    rows = layer_queries.R.queries["q_dq_mart_gate_all"].run(spark, SF).collect()
+    assert {(r["table"], r["check"]) for r in rows if not r["passed"]} == {("product_revenue", "row_count")}
+    assert {r["table"] for r in rows} == {"brand_revenue", "product_revenue", "monthly_traffic"}
