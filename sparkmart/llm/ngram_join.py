@@ -221,14 +221,16 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all their columns, without those whose group has a smaller doc_id.
+    """One row of ``docs``, with all its columns, of each group of linked texts.
 
-    Rows with a NULL id stay; rows with equal ids count as one document, of which one row stays.
+    It is the row with the smallest doc_id, NULL ids after all others, then the smallest hash of the text. Each row
+    is judged by its own text: rows with equal ids and different texts do not decide for each other. Rows without
+    words link with nothing and stay.
     """
-    table = durable(component_table(docs, n, percent), "components")
-    gone = table.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = join_checked(docs, gone, ["doc_id"], "left_anti", gone.count())
-    if table.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        return kept
-    named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.filter("doc_id IS NULL"))
+    numbered = durable(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    table = component_table(numbered.select(F.col("__row").alias("doc_id"), "text"), n, percent)
+    groups = table.select(F.col("doc_id").alias("__row"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("hash"), "__row")
+    placed = numbered.select("__row", place.alias("place")).join(groups, "__row")
+    kept = durable(placed.groupBy("component_id").agg(F.min("place").alias("place")).select("place.__row"), "kept-rows")
+    return join_checked(numbered, kept, ["__row"], "left_semi", kept.count()).drop("__row")

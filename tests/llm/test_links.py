@@ -212,3 +212,18 @@ def test_lines_edited_at_both_ends(docs):
     texts = [f"1201 {middle} signed miller", f"1377 {middle} signed walter", "seven brown horses running home", "seven brown horzes running home"]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts)).collect()}
     assert [got[k] for k in range(4)] == [texts[0], "", texts[2], ""]
+
+
+def test_keep_one_with_repeated_and_null_ids(frame):
+    """One id with a copy and a text of its own, and copies without id."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, c), (3, ""), (3, None)]
+    got = [tuple(r) for r in ngram_join.keep_one(frame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (2, b), (None, c), (3, ""), (3, None)], key=str)
+
+
+def test_keep_one_against_brute_force(docs):
+    """The n-gram stage of the pipeline: shingles of five words at 0.8."""
+    texts = near_copies(40, 9, 3) + near_copies(20, 3, 4) + ["one two", "one two", "", None]
+    got = sorted(r["doc_id"] for r in ngram_join.keep_one(docs(texts), n=5, percent=80).collect())
+    assert got == [k for k, _, root in brute_components(texts, 5, 80) if k == root]
