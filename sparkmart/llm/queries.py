@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, langid, line_dedup, ngram_join, oracles, packing, piece_rounds, quality, top_products, toxicity, wavelet
+from sparkmart.llm import alignment, chat, langid, line_dedup, mixing, ngram_join, oracles, packing, piece_rounds, quality, top_products
+from sparkmart.llm import toxicity, wavelet, whitening
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,6 +89,21 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, folder, "documents"))
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(_table(spark, folder, "documents"), *paths, digest=True)
+    return alignment.score_links(aligned).withColumnRenamed("groups", "groups_sha256")
+
+
 _ALL = (
     op1_chat_format,
     op2_packing,
@@ -99,6 +115,9 @@ _ALL = (
     op8_ngram_join,
     op9_toxicity,
     op10_line_dedup,
+    op11_mixing,
+    op12_whitening,
+    op13_alignment,
 )
 
 
