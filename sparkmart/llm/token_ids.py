@@ -48,9 +48,11 @@ class WordStore:
         if len(self.slot) + len(words) > self.limit and self.slot:
             self._shrink()
         get = self.slot.get
-        found = [get(w, -1) for w in words]
-        missing = list(dict.fromkeys(w for w, s in zip(words, found) if s < 0))
-        if missing:
+        found = np.array([get(w, -1) for w in words], np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            missing = dict.fromkeys(words[k] for k in new.tolist())
+            once, missing = len(missing) == len(new), list(missing)
             ids = self.encode(missing)
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))
@@ -59,10 +61,9 @@ class WordStore:
             self.length = np.concatenate((self.length, lengths))
             self.pool = np.concatenate((self.pool, flat))
             self.hits = np.concatenate((self.hits, np.zeros(len(missing), np.int64)))
-            for k, w in enumerate(missing, first):
-                self.slot[w] = k
-            found = [s if s >= 0 else self.slot[w] for w, s in zip(words, found)]
-        return np.array(found, np.int64)
+            self.slot.update(zip(missing, range(first, first + len(missing))))
+            found[new] = np.arange(first, first + len(missing)) if once else [self.slot[words[k]] for k in new.tolist()]
+        return found
 
     def _shrink(self) -> None:
         words = list(self.slot)  # in slot order
@@ -127,7 +128,16 @@ class TokenIds:
                 ids += marks[mark]
             return ids
 
+        known = marks.get
         for w in words:
+            if w.isascii():  # most words are letters, or letters and one mark that has been met
+                if w.isalpha():
+                    out.append([t.id for t in model(before + (w.lower() if lower else w))])
+                    continue
+                mark = known(w[-1:])
+                if mark and w[:-1].isalpha():
+                    out.append([t.id for t in model(before + (w[:-1].lower() if lower else w[:-1]))] + mark)
+                    continue
             m = plain(w)
             if m is None:
                 rest.append(lead + w)
@@ -172,14 +182,13 @@ class TokenIds:
 
     def _encode_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         codes, words, offsets = split_words(texts, spaces_only=True)
-        slot = self.inner.slots(words.to_pylist())
-        used = slot[codes]
-        lengths, starts = self.inner.length[used], self.inner.start[used]
-        np.add.at(self.inner.hits, slot, np.bincount(codes, minlength=len(slot)))
+        slot = self.inner.slots(words.to_numpy(zero_copy_only=False).tolist())
+        lengths, starts = self.inner.length[slot][codes], self.inner.start[slot][codes]
+        self.inner.hits[slot] += np.bincount(codes, minlength=len(slot))  # the words are distinct
         pool = self.inner.pool
         if self.spaces_matter and len(texts):
             head = offsets[:-1]
-            firsts = self.first.slots(pc.take(words, pa.array(codes[head])).to_pylist())
+            firsts = self.first.slots(pc.take(words, pa.array(codes[head])).to_numpy(zero_copy_only=False).tolist())
             lengths[head], starts[head] = self.first.length[firsts], self.first.start[firsts] + len(pool)
             pool = np.concatenate((pool, self.first.pool))
         return gather(pool, starts, lengths), run_sums(lengths, offsets)

@@ -21,7 +21,7 @@ from sparkmart.llm.token_ids import token_ids
 from sparkmart.session import durable
 
 MAGIC = b"WVMX0001"
-BLOCK_BITS = 1 << 18
+BLOCK_BITS = 1 << 16
 SHARD_TOKENS = 1 << 21
 
 
@@ -172,7 +172,7 @@ def write_shards(
     counts the ids before the shard in its part. Ranges of ids
     go to tasks, a task sorts its range and closes a shard at ``shard_tokens`` ids, so memory is bounded by
     a shard plus one document. Spark's writer commits the files; a lost task is simply run again. NULL text counts as
-    empty, NULL ids come first, rows with equal ids are ordered by text and each keeps its own place.
+    empty, NULL ids come first, rows with equal ids are ordered by a hash of the text and each keeps its own place.
     Other columns are ignored. An empty table gives no shard.
     """
 
@@ -201,8 +201,9 @@ def write_shards(
         if names:
             yield close()
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    # ranges of (id, hash of the text), so that rows of one id are cut up as well
+    ordered = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text").select("doc_id", "text")
     return durable(ordered.mapInArrow(shards, "part int, seq int, n_docs long, n_tokens long, shift long, file binary"), "token-shards")
 
 
