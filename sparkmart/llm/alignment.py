@@ -11,6 +11,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -144,7 +145,7 @@ class Aligner:
         raw = [t.encode() for t in texts]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         counts = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b)]
-        flat = [np.concatenate([np.asarray(x, np.int64) for x in ids]) if len(ids) else np.zeros(0, np.int64) for ids in (ids_a, ids_b)]
+        flat = [np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in zip((ids_a, ids_b), counts)]
         good = np.ones(len(raw), bool)
         for kind, ids, n in zip((self.bytes_a, self.bytes_b), flat, counts):
             own = run_sums(kind.length[ids], np.concatenate(([0], np.cumsum(n))))
@@ -156,21 +157,19 @@ class Aligner:
                 good[k] = kind.joined(ids[at[k] : at[k + 1]]).tobytes() == raw[k]
         if not good.all():
             flat = [ids[np.repeat(good, n)] for ids, n in zip(flat, counts)]
-            counts, sizes = [np.where(good, n, 0) for n in counts], np.where(good, sizes, 0)
+            counts = [np.where(good, n, 0) for n in counts]
         ends = [np.cumsum(kind.length[ids]) for kind, ids in zip((self.bytes_a, self.bytes_b), flat)]
         i, j, group_a, group_b = link_tokens(*ends, self.kind)
-        borders = np.cumsum(sizes)
-        of_link = np.searchsorted(borders, ends[0][i], side="left")
+        text_of = np.repeat(np.arange(len(raw)), counts[0])
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool) for g in (group_a, group_b))
         keys = flat[0][i] << 32 | flat[1][j]
-        groups = np.searchsorted(borders, np.unique(ends[0][np.append(group_a[1:] != group_a[:-1], True)]) if len(group_a) else ends[0])
-        facts = np.stack([*counts, np.bincount(groups, minlength=len(raw)), good.astype(np.int64)], axis=1)
+        facts = np.stack([*counts, np.bincount(text_of[last_a], minlength=len(raw)), good.astype(np.int64)], axis=1)
         # groups as text: tokens of a, then of b, of one group after the other
         order = np.argsort(np.concatenate((group_a * 2, group_b * 2 + 1)), kind="stable")
-        last_a, last_b = (np.append(g[1:] != g[:-1], True) if len(g) else np.zeros(0, bool) for g in (group_a, group_b))
         mark = np.concatenate((np.where(last_a, "|", ","), np.where(last_b, ";", ","))).astype(object)
         parts = (np.concatenate((self.digits[flat[0]], self.digits[flat[1]])) + mark)[order].tolist() if len(order) else []
         at = np.concatenate(([0], np.cumsum(counts[0] + counts[1]))).tolist()
-        return facts, keys, np.bincount(of_link, minlength=len(raw)), ["".join(parts[p:q]) for p, q in zip(at, at[1:])]
+        return facts, keys, np.bincount(text_of[i], minlength=len(raw)), ["".join(parts[p:q]) for p, q in zip(at, at[1:])]
 
     def _pieces(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """Alignment of distinct pieces: words after a space, or after the line end that they begin with."""
@@ -232,7 +231,7 @@ class Aligner:
             raw = texts.filter(pa.array(odd)).to_pylist()
             ids_b, ends = self.b.encode(pa.array(raw, pa.large_string()))
             own, own_keys, own_links, own_groups = self._align(
-                self.a._encode([" " + t for t in raw]), [ids_b[p:q].astype(np.int64) for p, q in zip(ends, ends[1:])], [" " + t for t in raw]
+                self.a._encode([" " + t for t in raw]), [ids_b[p:q].tolist() for p, q in zip(ends, ends[1:])], [" " + t for t in raw]
             )
             parts = np.split(keys, np.cumsum(links)[:-1])
             rest = iter(np.split(own_keys, np.cumsum(own_links)[:-1]))

@@ -129,6 +129,8 @@ class TokenIds:
             return ids
 
         known = marks.get
+        odd = "\0".join(w for w in words if not w.isascii())  # spelled all at once
+        spelled = iter((odd.lower() if lower else odd).translate(letters).split("\0"))
         for w in words:
             if w.isascii():  # most words are letters, or letters and one mark that has been met
                 if w.isalpha():
@@ -138,12 +140,19 @@ class TokenIds:
                 if mark and w[:-1].isalpha():
                     out.append([t.id for t in model(before + (w[:-1].lower() if lower else w[:-1]))] + mark)
                     continue
+                shown = None
+            else:
+                shown = next(spelled) if "\0" not in w else [next(spelled) for _ in w.split("\0")]
             m = plain(w)
             if m is None:
                 rest.append(lead + w)
                 out.append(None)
                 continue
             core, mark, core2, mark2 = m.groups()
+            if shown and not core2 and (not mark or mark in marks):
+                cut = shown[: -len(mark)] if mark else shown
+                out.append([t.id for t in model(before + cut)] + (marks[mark] if mark else []))
+                continue
             ids = spell(before, core, mark)
             if core2:
                 ids += line + spell("", core2, mark2)

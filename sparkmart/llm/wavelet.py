@@ -188,7 +188,7 @@ def write_shards(
             return pa.RecordBatch.from_pydict({f.name: [v] for f, v in zip(_SHARDS, row)}, schema=_SHARDS)
 
         for batch in batches:
-            for rows, texts in chunks(batch, "text", 4 << 20):
+            for rows, texts in chunks(batch, "text", 8 << 20):
                 flat, offsets = encoder.encode(texts, end_id)
                 ids.append(flat)
                 names += rows.column(0).to_pylist()
