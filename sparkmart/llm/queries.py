@@ -86,7 +86,7 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    return line_dedup.dedup_lines(_table(spark, folder, "documents"), exact=False)
 
 
 def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
