@@ -83,16 +83,33 @@ R.add(
     lambda t: I.finish_parts(I.merge_batches(I.batch_parts(_batched(t), "batch_id"))),
     _totals("{sales_events}"),
 )
+
+
+def _late_report(t: Tables) -> DataFrame:
+    """Nine of ten events up to the mark are ingested; the ids that the log kept tell the others."""
+    folder = new_folder(t.spark, "late")
+    I.ingest_incremental(t.sales_events.where((F.col("event_id") % 10 != 0) & (F.col("event_timestamp") <= F.lit(CUTS[1]).cast("timestamp"))), folder)
+    return I.late_events(t.sales_events, CUTS[1], I.kept_ids(t.spark, folder, 0)).select("event_id", "product_id")
+
+
 R.add(
     "q_late_report",
-    lambda t: I.late_events(t.sales_events, CUTS[1], t.sales_events.where(F.col("event_id") % 10 != 0)).select(
-        "event_id", "product_id"
-    ),
+    _late_report,
     f"""SELECT event_id, product_id FROM {{sales_events}}
         WHERE event_timestamp <= TIMESTAMP '{CUTS[1]}' AND event_id % 10 = 0""",
 )
 
 
+def _ingest_late(t: Tables) -> str:
+    """Nine of ten events of the first ten days; then the first twenty days, with what was late; then all events, twice."""
+    folder = new_folder(t.spark, "ingest-late")
+    batches = _batched(t)
+    I.ingest_incremental(batches.where((F.col("batch_id") < 1) & (F.col("event_id") % 10 != 0)), folder)
+    I.ingest_incremental(batches.where(F.col("batch_id") < 2), folder)
+    I.ingest_incremental(batches.unionByName(batches), folder)
+    return folder
+
+
 def _ingest_in_steps(t: Tables) -> str:
     """The log grows by one batch before each run; a last run finds nothing new."""
     folder = new_folder(t.spark, "ingest")
@@ -113,6 +130,24 @@ R.add(
 )
 
 
+R.add(
+    "q_ingest_late",
+    lambda t: I.cumulative_per_product(t.spark, _ingest_late(t)),
+    _totals("{sales_events}"),
+)
+R.add(
+    "q_daily_late",
+    lambda t: I.daily_totals(t.spark, _ingest_late(t)),
+    f"""SELECT CAST(event_timestamp AS DATE) AS event_date, {MONEY} AS revenue, COUNT(*) AS event_count,
+               CAST(COUNT(*) FILTER (event_id % 10 = 0 AND event_timestamp <= (
+                   SELECT MAX(event_timestamp) FROM {{sales_events}}
+                   WHERE event_timestamp < TIMESTAMP '{CUTS[0]}' AND event_id % 10 <> 0)) AS BIGINT) AS late_count,
+               CAST(event_timestamp AS DATE) + INTERVAL 1 DAY
+                   > (SELECT MAX(event_timestamp) - INTERVAL 1 HOUR FROM {{sales_events}}) AS is_open
+        FROM {{sales_events}} GROUP BY 1, is_open""",
+)
+
+
 def _snapshot_runs(t: Tables) -> DataFrame:
     """First run copies, second finds no change, third sees edits that keep the row count."""
     folder = new_folder(t.spark, "snapshot")
@@ -156,17 +191,26 @@ def _stream_dedup(t: Tables) -> DataFrame:
 
 R.add("q_stream_ingest", _stream_ingest, _totals("{sales_events}"))
 R.add("q_stream_dedup", _stream_dedup, "SELECT event_id, product_id, revenue FROM {sales_events}")
+
+
+def _stream_daily(t: Tables) -> DataFrame:
+    """Every event is delivered twice, the second time under a new checkpoint."""
+    folder = new_folder(t.spark, "stream-days")
+    for k in range(2):
+        S.run_to_end(S.ingest_stream(S.event_stream(t.spark, t.folder), f"{folder}/log", f"{folder}/checkpoint-{k}"))
+    return I.daily_totals(t.spark, f"{folder}/log").select("event_date", "revenue", "event_count", "is_open")
+
+
 R.add(
     "q_stream_daily",
-    lambda t: _stream_to_table(t, S.daily_revenue),
-    f"""SELECT CAST(event_timestamp AS DATE) AS event_date, {MONEY} AS revenue, COUNT(*) AS event_count
-        FROM {{sales_events}} GROUP BY 1
-        HAVING CAST(event_timestamp AS DATE) + INTERVAL 1 DAY
-            <= (SELECT MAX(event_timestamp) - INTERVAL 1 HOUR FROM {{sales_events}})""",
+    _stream_daily,
+    f"""SELECT CAST(event_timestamp AS DATE) AS event_date, {MONEY} AS revenue, COUNT(*) AS event_count,
+               CAST(event_timestamp AS DATE) + INTERVAL 1 DAY
+                   > (SELECT MAX(event_timestamp) - INTERVAL 1 HOUR FROM {{sales_events}}) AS is_open
+        FROM {{sales_events}} GROUP BY 1, is_open""",
 )
 
 
-
 def _stream_daily_all(t: Tables) -> DataFrame:
     """Every day of the log, the last one, which is still open, too."""
     folder = new_folder(t.spark, "stream-daily")

@@ -49,6 +49,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Remove a table folder on whatever file system the path names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def table_row_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
     """(table, row_count) for every table; 0 for a table that is missing (None)."""
     known = [t for t in tables.values() if t is not None]

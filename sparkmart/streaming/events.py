@@ -7,17 +7,18 @@ the next start continues there. The same functions serve a running stream with a
 from __future__ import annotations
 
 import hashlib
+import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart.functions.exprs import exact_sum
-from sparkmart.operators.incremental import BATCHES, EVENT_STEP, _batch_row, upsert_latest, write_batch
-from sparkmart.session import durable
+from sparkmart.operators.incremental import _batch_row, daily_totals, publish_batch, write_batch
 from sparkmart.sources.bindings import BINDINGS
 from sparkmart.sources.schemas import SOURCES
-from sparkmart.sources.sinks import overwrite, read_current
+from sparkmart.sources.sinks import overwrite
 from sparkmart.sources.state import MarkStore
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -38,12 +39,15 @@ def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet",
     return events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
 
 
-def ingest_stream(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def ingest_stream(
+    events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None, after: Callable[[SparkSession], object] | None = None
+) -> StreamingQuery:
     """Batch totals per micro-batch into the same log as the batch path, under the log's own numbers.
 
     Which micro-batch a number stands for is a mark named after the checkpoint. A micro-batch repeated after its mark is
     skipped; one repeated before it, or read again under a new checkpoint, adds only events whose ids the log does
-    not hold. Batch and stream runs of one folder must not overlap in time: there is one writer.
+    not hold. Events of any age are taken in. ``after`` runs once a micro-batch is published. Batch and stream runs of one
+    folder must not overlap in time: there is one writer.
     """
     name = "stream:" + hashlib.md5(checkpoint.encode()).hexdigest()
 
@@ -52,12 +56,13 @@ def ingest_stream(events: DataFrame, folder: str, checkpoint: str, trigger: dict
         done = marks.row(name)
         if done and int(done["detail"]) >= batch_id:
             return
-        mark, total, last = _batch_row(marks)
-        n, max_ts = write_batch(batch, folder, last + 1)
+        mark, _, last = _batch_row(marks)
+        n, max_ts = write_batch(batch, folder, last + 1, mark)
         if n:
-            newest = max_ts if mark is None else max(mark, max_ts)
-            marks.set(EVENT_STEP, total + n, at=newest, detail=str(last + 1))
+            publish_batch(marks, n, max_ts)
         marks.set(name, n, at=max_ts, detail=str(batch_id))
+        if after is not None:
+            after(batch.sparkSession)
 
     return (
         events.writeStream.foreachBatch(step)
@@ -86,26 +91,18 @@ def daily_revenue(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
 def upsert_daily(events: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Revenue per event day as a table that every micro-batch brings up to date, the open day included.
 
-    There is no watermark: an event counts on its day however late it comes, and the state is one row per day. A
-    repeated micro-batch replaces its days by the same totals. A new checkpoint counts from the start, so it needs a
-    folder of its own or a source that still holds all events.
+    The events go through the event log below ``folder``, which keeps their ids by day: an event delivered twice counts
+    once, also under a new checkpoint, and one that comes late counts on its day. The published table has a row a
+    day and is written anew from the log's parts by day.
     """
-    daily = events.groupBy(F.to_date("event_timestamp").alias("event_date")).agg(
-        exact_sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("event_count")
-    )
+    log = os.path.join(folder, "log")
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        days = durable(batch, "daily-updates")
-        current = read_current(batch.sparkSession, folder)
-        overwrite(days if current is None else upsert_latest(current, days, ["event_date"]), folder)
+    def publish(spark: SparkSession) -> None:
+        days = daily_totals(spark, log)
+        if days is not None:
+            overwrite(days.select("event_date", "revenue", "event_count"), folder)
 
-    return (
-        daily.writeStream.outputMode("update")
-        .foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or AVAILABLE_NOW))
-        .start()
-    )
+    return ingest_stream(events, log, checkpoint, trigger, publish)
 
 
 def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

@@ -213,3 +213,56 @@ def test_stream_daily_has_every_day_and_late_events(spark, events, tmp_path):
         raw.where(part).write.mode("append").parquet(log)
         ST.run_to_end(ST.upsert_daily(ST.event_stream(spark, log, "*.parquet"), folder, str(tmp_path / "c")))
     assert rows(read_current(spark, folder)) == rows(M.event_daily_revenue(events))
+
+
+def folders(path):
+    return sorted(os.path.relpath(os.path.join(d, n), path) for d, names, _ in os.walk(path) for n in names if n.startswith("seg="))
+
+
+def test_late_event_enters_its_day_once(spark, frame, tmp_path):
+    """Days 1 to 4, then an event of day 2, which comes twice."""
+    at = lambda d: dt.datetime(2024, 1, d, 12)
+    schema = "event_id bigint, product_id bigint, price double, discount double, quantity bigint, revenue double, event_timestamp timestamp"
+    log = [(k, 7, 1.0, 0.0, 1, 10.0, at(k)) for k in (1, 2, 3, 4)]
+    late = (9, 8, 1.0, 0.0, 1, 5.0, at(2))
+    folder = str(tmp_path)
+    sizes = [I.ingest_incremental(frame(rows_, schema), folder) for rows_ in (log, [*log, late], [*log, late, late])]
+    assert sizes == [4, 1, 0]
+    assert [(r[0], r[1]) for r in total(spark, folder)] == [(7, 40.0), (8, 5.0)]
+    days = rows(I.daily_totals(spark, folder))
+    assert [(d[0].day, *d[1:]) for d in days] == [(1, 10.0, 1, 0, False), (2, 15.0, 2, 1, False), (3, 10.0, 1, 0, False), (4, 10.0, 1, 0, True)]
+    assert I.ingest_incremental(frame([*log, late, (10, 8, 1.0, 0.0, 1, 5.0, at(1))], schema), folder, late=False) == 0
+
+
+def test_ids_are_read_by_day_from_few_segments(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "FAN_IN", 2)
+    schema = "event_id bigint, product_id bigint, price double, discount double, quantity bigint, revenue double, event_timestamp timestamp"
+    folder, log = str(tmp_path), []
+    for k in range(7):
+        log.append((k, k % 2, 1.0, 0.0, 1, 1.0, dt.datetime(2024, 1, 1 + k)))
+        assert I.ingest_incremental(frame(log, schema), folder) == 1
+    ids = os.path.join(folder, I.EVENT_IDS)
+    assert folders(ids) == ["tier=0/seg=6", "tier=1/seg=2", "tier=2/seg=0"]
+    assert rows(I.kept_ids(spark, folder, 6).select("event_id")) == [(k,) for k in range(7)]
+    days = [dt.date(2024, 1, 2), dt.date(2024, 1, 6)]
+    some = I.kept_ids(spark, folder, 6).where(I._on_days(F.col("event_day"), days))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [event_day" in plan and "IN (2024-01-02,2024-01-06)" in plan.replace(", ", ",").replace("event_day#", "")
+    assert rows(some.select("event_id")) == [(1,), (5,)]
+    # a merge that stopped before it was complete changes nothing, nor does one whose parts are still there
+    before, half = total(spark, folder), os.path.join(ids, "tier=3", "seg=0", "event_day=2024-01-01")
+    os.makedirs(half)
+    assert I.ingest_incremental(frame(log, schema), folder) == 0 and total(spark, folder) == before
+    assert I.kept_ids(spark, folder, 6).count() == 7
+    log.append((99, 0, 1.0, 0.0, 1, 1.0, dt.datetime(2024, 1, 3, 5)))
+    assert I.ingest_incremental(frame(log, schema), folder) == 1 and folders(ids) == ["tier=3/seg=0"]
+    assert I.kept_ids(spark, folder, 7).count() == 8
+
+
+def test_events_without_id_or_day(spark, frame, tmp_path):
+    schema = "event_id bigint, product_id bigint, price double, discount double, quantity bigint, revenue double, event_timestamp timestamp"
+    folder, at = str(tmp_path), dt.datetime(2024, 1, 1)
+    assert I.ingest_incremental(frame([(1, 1, 1.0, 0.0, 1, 2.0, at), (None, 1, 1.0, 0.0, 1, 2.0, at)], schema), folder) == 2
+    assert I.ingest_incremental(frame([(1, 1, 1.0, 0.0, 1, 2.0, at), (None, 1, 1.0, 0.0, 1, 2.0, at)], schema), folder) == 0
+    assert I.ingest_incremental(frame([(2, 1, 1.0, 0.0, 1, 2.0, None)], schema), folder) == 0  # neither before nor after the mark
+    assert total(spark, folder)[0][1] == 4.0

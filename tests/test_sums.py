@@ -44,3 +44,20 @@ def test_parts_merge(frame):
 @pytest.mark.parametrize("text", ["1e400", "-1e400", "Infinity", "NaN", "5d", "0x1p3"])
 def test_text_that_is_no_finite_number(frame, text):
     assert frame([(text,)], "t string").select(E.number("t")).first()[0] is None
+
+
+def test_shares_of_small_and_infinite_totals(frame):
+    import math
+
+    from sparkmart.operators import marts
+
+    def shares(revenues):
+        finance = frame([(k, r) for k, r in enumerate(revenues)], "product_id int, revenue double")
+        brands = frame([(k, f"b{k}") for k in range(len(revenues))], "product_id int, brand string")
+        return [r["revenue_share_percentage"] for r in marts.brand_share(finance, brands).orderBy("brand").collect()]
+
+    assert shares([0.00004, 0.00004]) == [50.0, 50.0]
+    assert shares([1e300, 3e300]) == [25.0, 75.0]
+    endless = shares([math.inf, 5.0])
+    assert math.isnan(endless[0]) and endless[1] == 0.0
+    assert shares([0.0, 0.0]) == [None, None]
