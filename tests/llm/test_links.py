@@ -227,3 +227,34 @@ def test_keep_one_against_brute_force(docs):
     texts = near_copies(40, 9, 3) + near_copies(20, 3, 4) + ["one two", "one two", "", None]
     got = sorted(r["doc_id"] for r in ngram_join.keep_one(docs(texts), n=5, percent=80).collect())
     assert got == [k for k, _, root in brute_components(texts, 5, 80) if k == root]
+
+
+def test_recall_of_blocks(spark, docs):
+    """Without the exact search: planted lines of 5 to 100 words with 1 to 5 edits, and the lines of a real table."""
+    pick = random.Random(9)
+    vocabulary = ["".join(pick.choice("abcdefghilmnoprstu") for _ in range(pick.randrange(3, 10))) for _ in range(2000)]
+    texts = []
+    for n in (5, 7, 9, 12, 15, 20, 30, 50, 100):
+        for edits in (1, 2, 3, 4, 5):
+            for _ in range(4):
+                line = " ".join(pick.choice(vocabulary) for _ in range(n))
+                near = edited(pick, line, edits)
+                if edit_distance(line, near) * 5 <= len(line):
+                    texts += [line, near]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts), exact=False).collect()}
+    found = [got[k] == "" for k in range(1, len(texts), 2)]
+    assert all(got[k] == texts[k] for k in range(0, len(texts), 2)) and sum(found) >= 0.9 * len(found)
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    dropped = [line_dedup.dedup_lines(table, exact=e).agg({"n_dropped": "sum"}).first()[0] for e in (True, False)]
+    assert dropped[0] * 0.9 <= dropped[1] <= dropped[0]
+
+
+def test_line_dedup_with_taken_names_and_repeated_ids(frame):
+    line = "one line of seven words in all"
+    rows = [(1, "x\n" + line, 5, "a"), (1, line, 6, "b"), (None, line, 7, "c"), (2, "y", 8, None)]
+    got = line_dedup.dedup_lines(frame(rows, "doc_id long, text string, n_dropped int, gone string"), exact=False)
+    assert got.columns == ["doc_id", "text", "n_dropped", "gone", "n_dropped_"]
+    kept = sorted(((r["text"], r["n_dropped"], r["gone"], r["n_dropped_"]) for r in got.collect()), key=str)
+    assert sum(line in k[0] for k in kept) == 1 and sum(k[3] for k in kept) == 2 and sorted(k[1] for k in kept) == [5, 6, 7, 8]
+
+
