@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.session import durable
@@ -55,6 +55,24 @@ def components(links: DataFrame) -> DataFrame:
 CENTRES = 8
 
 
+def shared_rows(buckets: DataFrame, key: str, early: Column) -> DataFrame:
+    """Rows of buckets that hold several nodes, each once, with the first row of its bucket beside it (node2, pos2, size2).
+
+    With a column ``part`` one shuffle does it: part 0 is a whole bucket, and rows of a hot bucket have parts from 1 on, told by
+    their node, so that no task holds all of it; their first row is that of the part, and all of them are kept.
+    """
+    if "part" in buckets.columns:
+        inside = Window.partitionBy(key, "part")
+        seen = buckets.withColumn("again", F.lag("node").over(inside.orderBy("node")))
+        seen = seen.withColumns({"lo": F.min(early).over(inside), "n1": F.min("node").over(inside), "n2": F.max("node").over(inside)})
+        seen = seen.filter("(part > 0 OR n1 < n2) AND (again IS NULL OR again <> node)")
+        first = [F.col(f"lo.{c}").alias(f"{c}2") for c in ("node", "pos", "size")]
+        return seen.select(key, "node", "pos", "size", "part", *first)
+    span = buckets.groupBy(key).agg(F.min(early).alias("lo"), F.min("node").alias("n1"), F.max("node").alias("n2"))
+    span = span.filter("n1 < n2").select(key, F.col("lo.node").alias("node2"), F.col("lo.pos").alias("pos2"), F.col("lo.size").alias("size2"))
+    return buckets.join(span, key).distinct().withColumn("part", F.lit(0))
+
+
 def link_in_buckets(
     buckets: DataFrame,
     key: str,
@@ -64,8 +82,9 @@ def link_in_buckets(
 ) -> tuple[DataFrame, DataFrame]:
     """(links (a, b), roots (node, root)) over all pairs of nodes that share a bucket.
 
-    ``buckets`` has the key column, ``node``, ``pos`` and ``size``, all long. ``prepare`` gets the nodes (node) that share a
-    bucket and returns what is needed to compare them, which is written once; ``verify`` keeps the true ones of pairs
+    ``buckets`` has the key column, ``node``, ``pos`` and ``size``, all long, and maybe ``part`` (see ``shared_rows``).
+    ``prepare`` gets the nodes (node) that share a bucket and returns what is needed to compare them, which is written
+    once; ``verify`` keeps the true ones of pairs
     (a, b) by that. ``may_link`` of the positions and sizes of both rows of a bucket tells whether that bucket has to try
     the pair; each true pair needs one bucket that does.
 
@@ -82,9 +101,7 @@ def link_in_buckets(
         return durable(both.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), label)
 
     early = F.struct("pos", "node", "size")
-    span = buckets.groupBy(key).agg(F.min(early).alias("lo"), F.min("node").alias("n1"), F.max("node").alias("n2"))
-    span = span.filter("n1 < n2").select(key, F.col("lo.node").alias("node2"), F.col("lo.pos").alias("pos2"), F.col("lo.size").alias("size2"))
-    shared = durable(buckets.join(span, key).distinct(), "shared-buckets")
+    shared = durable(shared_rows(buckets, key, early), "shared-buckets")
     contents = durable(prepare(shared.select("node").distinct()), "contents")
     first = tried_pairs(shared, F.col("node") != F.col("node2"), "star-pairs")
     links = durable(verify(first, contents), "star-links")
@@ -106,7 +123,8 @@ def link_in_buckets(
     near = tried_pairs(home.join(centres, key), F.col("node") != F.col("node2"), "centre-pairs")
     links = links.union(durable(verify(near, contents), "centre-links"))
     roots = components(links)
-    still = open_buckets().filter("node <> node2").select(key, "node", "pos", "size", "root")
+    # the first row of a whole bucket has met all others; that of a part has met its part only
+    still = open_buckets().filter("node <> node2 OR part > 0").select(key, "node", "pos", "size", "root")
     other = still.select(key, *[F.col(c).alias(f"{c}2") for c in ("node", "pos", "size", "root")])
     cross = tried_pairs(still.join(other, key), F.col("root") < F.col("root2"), "cross-pairs")
     more = durable(verify(cross, contents), "cross-links")

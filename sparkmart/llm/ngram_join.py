@@ -22,6 +22,8 @@ from sparkmart.session import durable
 FRAGMENTS = 4
 FREQUENT_PER_TASK = 20_000
 FREQUENT = 200_000
+SEEN_SLOTS = 1 << 24  # per task: which shingles an earlier chunk may have had
+HOT_ROWS = 1_000_000  # a bucket of more rows is split by node
 _LAST = (1 << 63) - 1  # stands for a NULL id
 
 
@@ -76,6 +78,7 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        earlier = np.zeros(SEEN_SLOTS, bool)
         for batch in batches:
             for rows, texts in chunks(batch, "text"):
                 sets = shingle_sets(texts, n)
@@ -91,7 +94,10 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
                     names=["doc_id", "node", "size", "shingle", "times"],
                 )
                 values, counts = np.unique(np.concatenate(sets), return_counts=True)
-                values, counts = values[counts > 1], counts[counts > 1]
+                slots = (values % np.uint64(SEEN_SLOTS)).astype(np.int64)
+                often = (counts > 1) | earlier[slots]
+                earlier[slots] = True
+                values, counts = values[often], counts[often]
                 merged, where = np.unique(np.concatenate((seen, values)), return_inverse=True)
                 total = np.bincount(where, np.concatenate((times, counts)), len(merged)).astype(np.int64)
                 top = np.argsort(-total, kind="stable")[:FREQUENT_PER_TASK]
@@ -125,7 +131,8 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
 
     Equal sets are one node. A linked pair must share a shingle among the first size - ceil(percent * size / 100) + 1 of
     both in any common order. The order used puts the frequent shingles, as far as each task has counted
-    them in a bounded list, last; how good that list is changes the work and not the result. The first shingle a pair shares
+    them in a bounded list, last; how good that list is changes the work and not the result. Buckets of that list beyond
+    ``HOT_ROWS`` rows are split by node. The first shingle a pair shares
     bounds its overlap by what stands behind it in both, so a bucket tries only pairs that this bound allows. Within a bucket nodes
     are first tried against one of them and then only across groups, so a dense group costs as many pairs as it has rows.
     """
@@ -143,17 +150,27 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, times = frequent.value
+        parts = -(-times // HOT_ROWS)
+        hot, parts = names[parts > 1], parts[parts > 1]
+        told: set[int] = set()  # nodes of this task: copies say nothing new
         for batch in batches:
             for _, texts in chunks(batch, "text"):
-                nodes, tokens, places, sizes = [], [], [], []
+                nodes, tokens, places, sizes, split = [], [], [], [], []
                 for s in shingle_sets(texts, n):
-                    if len(s):
+                    node = _node(s)
+                    if node is not None and node not in told:
+                        told.add(node)
                         ordered, _ = _ordered(s, names, times)
                         head = ordered[: len(s) - -(-percent * len(s) // 100) + 1]
+                        part = np.zeros(len(head), np.int32)
+                        if len(hot):
+                            at = np.minimum(np.searchsorted(hot, head), len(hot) - 1)
+                            part = np.where(hot[at] == head, 1 + node % parts[at], 0).astype(np.int32)
                         tokens.append(head)
-                        nodes.append(np.full(len(head), _node(s)))
+                        nodes.append(np.full(len(head), node))
                         places.append(np.arange(len(head)))
                         sizes.append(np.full(len(head), len(s)))
+                        split.append(part)
                 if nodes:
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -161,11 +178,12 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                             pa.array(np.concatenate(nodes)),
                             pa.array(np.concatenate(places)),
                             pa.array(np.concatenate(sizes)),
+                            pa.array(np.concatenate(split)),
                         ],
-                        names=["token", "node", "pos", "size"],
+                        names=["token", "node", "pos", "size", "part"],
                     )
 
-    buckets = durable(docs.mapInArrow(heads, "token long, node long, pos long, size long"), "shingle-heads")
+    buckets = docs.mapInArrow(heads, "token long, node long, pos long, size long, part int")
     firsts = members.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"))
     firsts = durable(firsts, "shingle-nodes")
     texts = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))

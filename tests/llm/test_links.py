@@ -96,6 +96,15 @@ def test_ngram_join_in_dense_groups(docs):
     assert got == brute_components(lowered, 4, 85)
 
 
+def test_ngram_join_with_split_buckets(docs, monkeypatch):
+    """Buckets that are split by node lose no link."""
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", 3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = near_copies(50, 9, 3) + [f"{passage} q{k} q{k + 1} q{k // 2}" for k in range(40)] + [passage] * 4
+    got = sorted(tuple(r) for r in ngram_join.component_table(docs(texts)).collect())
+    assert got == brute_components(texts, 4, 85)
+
+
 def test_ngram_join_odd_rows(odd_docs):
     got = ngram_join.component_table(odd_docs).collect()
     assert len(got) == 8 and all(r["component_id"] == r["doc_id"] for r in got)
