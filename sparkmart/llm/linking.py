@@ -83,8 +83,8 @@ def link_in_buckets(
     """(links (a, b), roots (node, root)) over all pairs of nodes that share a bucket.
 
     ``buckets`` has the key column, ``node``, ``pos`` and ``size``, all long, and maybe ``part`` (see ``shared_rows``).
-    ``prepare`` gets the nodes (node) that share a bucket and returns what is needed to compare them, which is written
-    once; ``verify`` keeps the true ones of pairs
+    ``prepare`` gets the nodes (node) of the pairs of a round and returns what is needed to compare them, which is
+    written; ``verify`` keeps the true ones of pairs
     (a, b) by that. ``may_link`` of the positions and sizes of both rows of a bucket tells whether that bucket has to try
     the pair; each true pair needs one bucket that does.
 
@@ -102,9 +102,13 @@ def link_in_buckets(
 
     early = F.struct("pos", "node", "size")
     shared = durable(shared_rows(buckets, key, early), "shared-buckets")
-    contents = durable(prepare(shared.select("node").distinct()), "contents")
+
+    def true_pairs(pairs: DataFrame, label: str) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        return durable(verify(pairs, durable(prepare(nodes), "contents")), label)
+
     first = tried_pairs(shared, F.col("node") != F.col("node2"), "star-pairs")
-    links = durable(verify(first, contents), "star-links")
+    links = true_pairs(first, "star-links")
     roots = components(links)
 
     def open_buckets() -> DataFrame:
@@ -121,13 +125,13 @@ def link_in_buckets(
     centres = centres.select(key, F.col("c.node").alias("node2"), F.col("c.pos").alias("pos2"), F.col("c.size").alias("size2"))
     home = still.groupBy("node").agg(F.max_by(F.struct(key, "pos", "size"), F.struct("n", key)).alias("home")).select("node", "home.*")
     near = tried_pairs(home.join(centres, key), F.col("node") != F.col("node2"), "centre-pairs")
-    links = links.union(durable(verify(near, contents), "centre-links"))
+    links = links.union(true_pairs(near, "centre-links"))
     roots = components(links)
     # the first row of a whole bucket has met all others; that of a part has met its part only
     still = open_buckets().filter("node <> node2 OR part > 0").select(key, "node", "pos", "size", "root")
     other = still.select(key, *[F.col(c).alias(f"{c}2") for c in ("node", "pos", "size", "root")])
     cross = tried_pairs(still.join(other, key), F.col("root") < F.col("root2"), "cross-pairs")
-    more = durable(verify(cross, contents), "cross-links")
+    more = true_pairs(cross, "cross-links")
     if more.isEmpty():
         return links, roots
     links = links.union(more)
