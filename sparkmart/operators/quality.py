@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -137,6 +138,95 @@ def accepted_values(df: DataFrame, name: str, column: str, values: Sequence[str]
     return condition_checks(df, name, [("accepted_values", column, broken, ERROR)])
 
 
+@dataclass(frozen=True)
+class Constraint:
+    """A declared test of one column; ``values`` are for accepted_values."""
+
+    table: str
+    column: str
+    test: str
+    severity: str = ERROR
+    values: tuple[str, ...] = ()
+
+
+def declare(table: str, required: Sequence[str], key: str | None = None, key_severity: str = ERROR) -> list[Constraint]:
+    """Columns that must hold a value, and one whose values must differ."""
+    found = [Constraint(table, c, "not_null") for c in required]
+    return found + ([Constraint(table, key, "unique", key_severity)] if key else [])
+
+
+# The tests declared for the clean layer and the marts. A product has several lines in these
+# tables and a name several brands, so their uniqueness is reported and stops nothing.
+CLEAN_CONSTRAINTS = (
+    *declare("clean_finance", ["product_id", "revenue", "discount"], "product_id", WARN),
+    *declare("clean_brands", ["product_id", "brand"], "product_id", WARN),
+    *declare("clean_info", ["product_id", "product_name"], "product_id", WARN),
+    *declare("clean_reviews", ["product_id", "review_count"], "product_id", WARN),
+    Constraint("clean_reviews", "rating", "not_null", WARN),
+    *declare("clean_traffic", ["product_id", "last_visited"]),
+)
+MART_CONSTRAINTS = (
+    *declare("brand_revenue", ["brand", "total_revenue", "revenue_share_pct"], "brand"),
+    *declare("product_revenue", ["product_name", "total_revenue", "revenue_rank"], "product_name", WARN),
+    *declare("monthly_traffic", ["month", "visit_count"], "month"),
+    *declare("discount_impact", ["category", "total_revenue"], "category"),
+    Constraint("discount_impact", "category", "accepted_values", ERROR, ("Discounted", "No Discount")),
+)
+
+
+def accepted_brands(table: str, brands: Sequence[str], severity: str = WARN) -> Constraint:
+    return Constraint(table, "brand", "accepted_values", severity, tuple(brands))
+
+
+def _broken(c: Constraint) -> Column:
+    if c.test == "not_null":
+        return F.col(c.column).isNull()
+    if c.test == "accepted_values":
+        return F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values)
+    raise ValueError(f"{c.table}.{c.column}: unknown test {c.test}")
+
+
+def _one_pass(df: DataFrame, name: str, by_row: Sequence[Constraint], key: Constraint | None) -> DataFrame:
+    """All row tests, and the uniqueness of one column, from one scan; the shuffle carries one row per key and task."""
+    broken = [_count(_broken(c)).alias(f"c{i}") for i, c in enumerate(by_row)]
+    if key:
+        groups = df.withColumn("_key", F.col(key.column)).groupBy("_key").agg(F.count(F.lit(1)).alias("n"), *broken)
+        known = F.when(F.col("_key").isNotNull(), F.col("n"))
+        sums = {"total": F.sum("n"), "keyed": F.sum(known), "repeated": F.count_if(known > 1)}
+        sums |= {f"c{i}": F.sum(f"c{i}") for i in range(len(by_row))}
+        counts = groups.agg(*(F.coalesce(v, F.lit(0)).alias(k) for k, v in sums.items()))
+    else:
+        counts = df.agg(F.count(F.lit(1)).alias("total"), *broken)
+    rows = [
+        _row(name, c.test, F.lit(c.column), F.col(f"c{i}"), F.col("total"), F.lit(c.severity), F.col(f"c{i}") == 0)
+        for i, c in enumerate(by_row)
+    ]
+    if key:
+        bad = F.col("repeated")
+        rows.append(_row(name, key.test, F.lit(key.column), bad, F.col("keyed"), F.lit(key.severity), bad == 0))
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def constraint_suite(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
+    """Every declared test of every given table as rows.
+
+    A table is scanned once: row tests are counted along with the grouping by its unique column. Only a second unique
+    column would scan it again. Tests of tables that are not given are an error.
+    """
+    missing = {c.table for c in constraints} - set(tables)
+    if missing:
+        raise ValueError(f"no table for the tests of {', '.join(sorted(missing))}")
+    frames = []
+    for name, df in tables.items():
+        mine = [c for c in constraints if c.table == name]
+        by_row = [c for c in mine if c.test != "unique"]
+        keys = [c for c in mine if c.test == "unique"]
+        if mine:
+            frames.append(_one_pass(df, name, by_row, keys[0] if keys else None))
+        frames += [_one_pass(df, name, [], k) for k in keys[1:]]
+    return _union(frames)
+
+
 # --- gates ------------------------------------------------------------------------------
 
 

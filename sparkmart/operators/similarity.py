@@ -361,11 +361,10 @@ def recommend(scaled: DataFrame, product_id, top_n: int = 5, within: str | None
 
 
 def recommend_names(scaled: DataFrame, product_id, top_n: int = 5, within: str | None = None) -> DataFrame:
-    """Recommendations for display: three times as many candidates, one per product name, then the
-    first ``top_n``; revenue back on its own scale."""
+    """Recommendations for display: the best product of each name, then the first ``top_n`` of those; revenue
+    back on its own scale. There are ``top_n`` names whenever that many exist."""
     label = within if within in scaled.columns else None
-    candidates = similar_to(scaled, product_id, label).orderBy(F.desc("similarity"), "product_id").limit(3 * top_n)
-    best = keep_best(candidates, "product_name", "similarity", "product_id", top_n)
+    best = keep_best(similar_to(scaled, product_id, label), "product_name", "similarity", "product_id", top_n)
     return best.select(
         "product_name",
         "brand",

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sparkmart.plans import event_queries, layer_queries, mart_queries, model_queries, statistics_queries
+from sparkmart.plans import contract_queries, event_queries, layer_queries, mart_queries, model_queries, statistics_queries
 from sparkmart.plans.registry import Query
 
-_AREAS = (mart_queries, layer_queries, event_queries, statistics_queries, model_queries)
+_AREAS = (mart_queries, layer_queries, contract_queries, event_queries, statistics_queries, model_queries)
 
 
 def all_queries() -> dict[str, Query]:

@@ -42,7 +42,7 @@ def build_marts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         totals = totals.withColumn("product_id", totals["product_id"].cast(info.schema["product_id"].dataType))
         built["event_revenue"] = marts.event_revenue(totals, info, brands)
     written = {name: durable(df, f"mart-{name}") for name, df in built.items()}
-    quality.enforce(quality.mart_gate(written))
+    quality.enforce(quality.mart_gate(written).unionByName(quality.constraint_suite(written, quality.MART_CONSTRAINTS)))
     return {name: overwrite(df, os.path.join(folder, f"analytics_{name}")) for name, df in written.items()}
 
 
@@ -63,6 +63,8 @@ def run(
     raw = {t: _current(spark, folder, f"raw_{t}") for t in CATALOGUE}
     quality.enforce(quality.raw_gate(raw, events, min_rows))
     done["clean_rows"] = clean_all(raw, folder)
+    layer = {f"clean_{t}": _current(spark, folder, f"clean_{t}") for t in CATALOGUE}
+    quality.enforce(quality.constraint_suite(layer, quality.CLEAN_CONSTRAINTS))
 
     built = build_marts(spark, folder)
     done["marts"] = sorted(built)

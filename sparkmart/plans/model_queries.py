@@ -195,7 +195,7 @@ R.add(
     """SELECT product_name, brand, printf('%.0f', listing_price) AS price, printf('%.2f', rating) AS rating,
               format('{:,.0f}', exp(revenue) - 1) AS revenue, printf('%.1f', similarity * 100) || '%' AS similarity
        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_name ORDER BY similarity DESC, product_id) AS rn
-             FROM (SELECT * FROM {alike} ORDER BY similarity DESC, product_id LIMIT 15))
+             FROM {alike})
        WHERE rn = 1 ORDER BY similarity DESC, product_id LIMIT 5""",
 )
 

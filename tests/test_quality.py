@@ -77,3 +77,39 @@ def test_registered_mart_gate_sees_every_mart(spark, monkeypatch):
     rows = layer_queries.R.queries["q_dq_mart_gate_all"].run(spark, SF).collect()
     assert {(r["table"], r["check"]) for r in rows if not r["passed"]} == {("product_revenue", "row_count")}
     assert {r["table"] for r in rows} == {"brand_revenue", "product_revenue", "monthly_traffic"}
+
+
+def test_constraint_suite(frame, capsys):
+    a = frame([("x", 1), ("x", None), (None, 3), (None, None)], "k string, v int")
+    b = frame([], "k string, v int")
+    asked = [
+        *Q.declare("a", ["k", "v"], "k"),
+        Q.Constraint("a", "k", "accepted_values", Q.WARN, ("y",)),
+        *Q.declare("b", ["v"], "k"),
+    ]
+    suite = Q.constraint_suite({"a": a, "b": b}, asked)
+    found = {(r["table"], r["check"], r["column"]): (r["failing_rows"], r["total_rows"], r["passed"]) for r in suite.collect()}
+    assert found == {
+        ("a", "not_null", "k"): (2, 4, False),
+        ("a", "not_null", "v"): (2, 4, False),
+        ("a", "accepted_values", "k"): (2, 4, False),
+        ("a", "unique", "k"): (1, 2, False),
+        ("b", "not_null", "v"): (0, 0, True),
+        ("b", "unique", "k"): (0, 0, True),
+    }
+    with pytest.raises(Q.ValidationError):
+        Q.enforce(suite)
+    with pytest.raises(ValueError):
+        Q.constraint_suite({"a": a}, asked)
+    with pytest.raises(ValueError):
+        Q.constraint_suite({"a": a}, [Q.Constraint("a", "k", "positive")])
+
+
+def test_constraint_suite_scans_a_table_once(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS k", "id % 7 AS v").write.parquet(path)
+    asked = [*Q.declare("t", ["k", "v"], "k"), Q.Constraint("t", "v", "accepted_values", Q.WARN, ("1",))]
+    capsys.readouterr()
+    Q.constraint_suite({"t": spark.read.parquet(path)}, asked).explain("formatted")
+    plan = capsys.readouterr().out.split("\n\n")[0]
+    assert plan.count("Scan parquet") == 1
