@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.arrow_text import chunks, run_sums, split_words
@@ -213,22 +213,26 @@ def forward_backward_posterior(scores: np.ndarray, lengths: np.ndarray, moves: n
 
 
 def fit(docs: DataFrame, per_label: int = 600) -> Field | None:
-    """A field trained on at most about ``per_label`` documents of each language.
+    """A field trained on at most ``per_label`` documents of each language.
 
-    Used are text and lang of rows whose id is not held out, sampled by a hash of id and text at a rate set per language from
-    its count, so rare languages are not lost. None if no row has a label and a word.
+    Used are text and lang of rows whose id is not held out, drawn by a hash of id and text at a rate set per language from
+    its number of different ones, so rare languages are not lost and an id that many rows share neither floods the draw nor
+    falls out of it as a whole. Repeated rows count once. None if no row has a label and a word.
     """
     rows = docs.select("doc_id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    rows = rows.filter(~held_out())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.filter(~held_out()).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = rows.withColumn("__mark", F.xxhash64("doc_id", "text", F.lit(11)))
+    different = rows.groupBy("lang").agg(F.approx_count_distinct("__mark", 0.02).alias("n"))
+    counts = {r["lang"]: r["n"] for r in different.collect()}  # one row a language
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000))
     rate = F
     for lang, n in sorted(counts.items()):
-        rate = rate.when(F.col("lang") == lang, F.lit(int(1_000_000 * min(1.0, per_label / n)) or 1))
-    sample = rows.filter(draw < rate.otherwise(F.lit(0))).select("text", "lang", "doc_id").toPandas().sort_values(["doc_id", "text"])
-    sample = sample[sample["text"].str.strip() != ""]
+        rate = rate.when(F.col("lang") == lang, F.lit(int(1_000_000 * min(1.0, 1.2 * per_label / max(n, 1))) + 1))
+    likely = rows.filter(F.pmod("__mark", F.lit(1_000_000)) < rate.otherwise(F.lit(0))).dropDuplicates(["lang", "__mark"])
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("__mark", F.lit(1_000_000)), "__mark"))
+    drawn = likely.withColumn("__nth", nth).filter(F.col("__nth") <= per_label)
+    sample = drawn.select("text", "lang", "doc_id").toPandas().sort_values(["doc_id", "text", "lang"])
     return train(sample["text"].tolist(), sample["lang"].tolist()) if len(sample) else None
 
 

@@ -39,7 +39,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", None, 10),
     Rule("stop_words", "n_stop_words", "n_words", 5, None),
     Rule("repeated_lines", "n_dup_lines", "n_lines", None, 50),
-    Rule("line_length", "n_words", "n_lines", 100, None),
+    Rule("line_length", "n_words", "n_lines", 200, None),
 )
 
 

@@ -13,11 +13,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.arrow_text import chunks, run_sums, split_words
 from sparkmart.llm.langid import held_out
+from sparkmart.session import durable
 
 TRIM = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha())
 PREFIXES = (6, 5, 4)
@@ -169,10 +170,11 @@ def evidence(segments: list[tuple[int, int, float]], words: int, scorer: Scorer)
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000) -> Scorer | None:
-    """Learn from at most about ``bound`` labelled documents that are not held out, drawn by a hash of their ids.
+    """Learn from at most ``bound`` labelled documents that are not held out, drawn by a hash of their ids.
 
     Three quarters give the word counts, the rest the law's rate and the line from evidence to
-    log-odds, so no document is scored by its own words. A document with several labels counts as toxic if one says so. None
+    log-odds, so no document is scored by its own words. A document with several labels counts as toxic if one says so; of
+    several texts under one id the one with the smallest hash is used, so an id that many rows share is one document. None
     if either class is missing.
     """
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out())
@@ -181,18 +183,20 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000) -> Scorer | Non
     if not total:
         return None
     draw = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000))
-    drawn = known.withColumn("draw", draw).filter(F.col("draw") < int(1_000_000 * min(1.0, bound / total)))
-    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # about ``bound`` ids
+    likely = known.withColumn("draw", draw).filter(F.col("draw") < int(1_000_000 * min(1.0, 1.2 * bound / total)) + 1)
+    drawn = durable(likely.orderBy("draw", "doc_id").limit(bound).select("doc_id", "toxic"), "toxic-draw")
+    text = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # at most ``bound`` ids
+    sample = durable(sample.groupBy("doc_id", "toxic").agg(text), "toxic-sample")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(4)) == 0
-    counts = count_features(sample.filter(~fold))
+    counts = durable(count_features(sample.filter(~fold)), "toxic-features")
     words = ~F.col("feature").endswith("*")
     sums = counts.agg(F.sum(F.when(words, F.col("toxic_n"))), F.sum(F.when(words, F.col("clean_n")))).first()
     if not sums[0] or not sums[1]:
         return None
-    rare = counts.filter(F.col("toxic_n") >= 3)
-    near = counts.filter((F.col("toxic_n") < 3) & (F.col("clean_n") > 0))
-    hot = rare.withColumn("share", F.col("toxic_n") / (F.col("toxic_n") + F.col("clean_n"))).orderBy(F.desc("share"), F.desc("toxic_n"), "feature").limit(50_000)
-    table = hot.select("feature", "toxic_n", "clean_n").toPandas()
+    # the test of ``learn_scores``, a hair wider, decides here too, so only what it keeps leaves the executors
+    telling = (F.col("toxic_n") >= 3) & (2 * _ratio(int(sums[0]) / (int(sums[0]) + int(sums[1]))) >= MIN_G - 1e-6)
+    table = counts.filter(telling).orderBy("feature").toPandas()
     scorer = learn_scores(table, int(sums[0]), int(sums[1]))
     stems = sorted({f[:-1] for f in scorer.features if f.endswith("*")})
     if stems:
@@ -201,11 +205,20 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000) -> Scorer | Non
             some = [s for s in stems if len(s) == k]
             if some:
                 match |= F.substring("feature", 1, k).isin(some)
-        also = near.filter(words & match).orderBy(F.desc("clean_n"), "feature").limit(50_000).toPandas()
-        scorer = learn_scores(pd.concat([table, also[["feature", "toxic_n", "clean_n"]]]), int(sums[0]), int(sums[1]))
+        also = counts.filter(~telling & words & (F.col("clean_n") > 0) & match).orderBy("feature").toPandas()
+        scorer = learn_scores(pd.concat([table, also], ignore_index=True), int(sums[0]), int(sums[1]))
     return calibrate(scorer, sample.filter(fold))
 
 
+def _ratio(share: float) -> Column:
+    """Half the likelihood-ratio statistic of a feature's counts, where toxic text holds ``share`` of all words."""
+
+    def part(n: str, p: float) -> Column:
+        return F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / ((F.col("toxic_n") + F.col("clean_n")) * p))).otherwise(0.0)
+
+    return part("toxic_n", share) + part("clean_n", 1 - share)
+
+
 def calibrate(scorer: Scorer, sample: DataFrame) -> Scorer:
     """Set the law's rate from clean documents, then fit the line from evidence to log-odds."""
     shared = sample.sparkSession.sparkContext.broadcast(scorer)

@@ -1,8 +1,11 @@
 """Chats, quality rules, languages, toxicity."""
 
 import hashlib
+import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +50,25 @@ def test_quality_measures(docs):
     assert got[3]["n_repeat_words"] == 120 and got[3]["base_failed"] and not got[4]["base_failed"]
 
 
+@pytest.mark.parametrize("rule", [r.name for r in quality.RULES])
+def test_each_rule_rejects_a_text_of_its_own(docs, rule):
+    """One text that this rule alone rejects, beside one that every rule keeps."""
+    words = [f"{w}{k}" for k in range(20) for w in ("the word", "of part")]
+    fine = " ".join(words)
+    only = {
+        "word_length": " ".join(f"the {'long' * 12}{k}" for k in range(40)),
+        "symbols": fine.replace("word", "#"),
+        "stop_words": " ".join(f"word{k} part{k}" for k in range(40)),
+        # 3 of 5 lines repeat an earlier one, each of two words, so hardly a window of three words does
+        "repeated_lines": "\n".join(["the menu", "of pages", "the menu", "of pages", "in places", "the menu", "of pages", "in places", "the menu"]) + "\n" + fine,
+        "line_length": "\n".join(fine.split(" ")),
+    }
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs([fine, only[rule]])).collect()}
+    assert got == {0: True, 1: False}
+    others = tuple(r for r in quality.RULES if r.name != rule)
+    assert quality.judge(docs([only[rule]]), others).first()["kept"]
+
+
 def test_quality_keeps_rows_as_they_are(odd_docs):
     assert quality.keep_good(odd_docs).columns == odd_docs.columns
     assert quality.judge(odd_docs).count() == 8 and quality.judge(odd_docs.limit(0)).count() == 0
@@ -89,6 +111,26 @@ def test_language_odd_rows(odd_docs):
     assert {r["lang_pred"] for r in langid.predict(odd_docs, None).collect()} == {"und"}
 
 
+def test_language_draw_with_a_hot_id(frame):
+    """An id that most rows share neither floods the draw nor takes its language out of it; repeated rows count once."""
+    texts = {"en": "the house and the garden of my father", "de": "das Haus und der Garten von meinem Vater"}
+    schema = "doc_id long, text string, lang string"
+    ids = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 5]
+    rows = [(ids[0], f"{texts['en']} {k}", "en") for k in range(3000)] + [(ids[1], texts["de"], "de")] * 3000
+    rows += [(k, f"{texts['en']} {k}", "en") for k in ids[2:300]]
+    drawn = []
+
+    def train(texts, langs):
+        drawn.extend(zip(texts, langs))
+        return None
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid, "train", train)
+        langid.fit(frame(rows, schema), per_label=50)
+    count = Counter(lang for _, lang in drawn)
+    assert count["de"] == 1 and 40 <= count["en"] <= 50 and len(set(drawn)) == len(drawn)
+
+
 def test_maximal_segments_against_recursion():
     def best_first(x, lo, hi):
         spans = [(x[a:b].sum(), -(b - a), -a, a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
@@ -116,6 +158,37 @@ def test_toxic_documents_are_found(spark, frame):
     assert all(bool(r["passages"]) == toxic[r["doc_id"]] for r in got)
 
 
+def test_toxicity_draw_with_a_hot_id(frame):
+    """Many rows of one labelled id are one document to learn from, and the draw keeps to its bound."""
+    ids = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 5]
+    rows = [(ids[0], f"vile stuff {k}") for k in range(4000)] + [(k, f"plain words of {k}") for k in ids[1:400]]
+    labels = frame([(k, int(k == ids[0])) for k in ids[:400]], "doc_id long, toxic int")
+    seen = []
+
+    def count(sample):
+        seen.extend(sample.collect())
+        return frame([], "feature string, toxic_n long, clean_n long")
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "count_features", count)
+        assert toxicity.fit(frame(rows, "doc_id long, text string"), labels) is None
+        few, seen[:] = len(seen), []
+        toxicity.fit(frame(rows, "doc_id long, text string"), labels, bound=100)
+    assert 200 < few <= 400 and 50 < len(seen) <= 100 and len({r["doc_id"] for r in seen}) == len(seen)
+
+
+def test_telling_features_in_spark_and_numpy(spark, frame):
+    rng = np.random.default_rng(9)
+    counts = pd.DataFrame({"feature": [f"f{k}" for k in range(2000)], "toxic_n": rng.integers(0, 40, 2000), "clean_n": rng.integers(0, 400, 2000)})
+    share = 0.1
+    half = frame(counts.astype(object).values.tolist(), "feature string, toxic_n long, clean_n long").select("feature", toxicity._ratio(share).alias("g"))
+    y1, y0 = counts["toxic_n"].to_numpy(float), counts["clean_n"].to_numpy(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        want = np.where(y1 > 0, y1 * np.log(y1 / ((y1 + y0) * share)), 0) + np.where(y0 > 0, y0 * np.log(y0 / ((y1 + y0) * (1 - share))), 0)
+    got = {r["feature"]: r["g"] for r in half.collect()}
+    assert np.allclose([got[f] for f in counts["feature"]], want, atol=1e-9)
+
+
 def test_toxicity_odd_rows(odd_docs, frame):
     labels = frame([(0, 1, 0), (3, 0, None), (None, 1, 1)], "doc_id long, toxic int, quality int")
     model = toxicity.fit(odd_docs, labels)
