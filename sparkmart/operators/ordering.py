@@ -30,17 +30,15 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     return left.join(renamed, same).drop(*(f"_right_{k}" for k in keys))
 
 
-def _ranged(counts: DataFrame, value: str, n_rows: int, rows_per_range: int) -> tuple[DataFrame, int]:
+def _ranged(counts: DataFrame, value: str, n_rows: int, rows_per_range: int) -> DataFrame:
     """Add ``_range``, ascending with ``value``, each of about ``rows_per_range`` rows.
 
     The range number is the shuffle partition and is written along with the row: it is taken
     once, and a task that runs again reads it instead of drawing new range bounds.
     """
-    n = math.ceil(n_rows / rows_per_range)
-    if n <= 1:
-        return counts.withColumn("_range", F.lit(0)), 1
+    n = max(1, math.ceil(n_rows / rows_per_range))
     ranged = counts.repartitionByRange(n, value).withColumn("_range", F.spark_partition_id())
-    return durable(ranged, "ranges"), n
+    return durable(ranged, "ranges")
 
 
 def running_totals(
@@ -57,17 +55,14 @@ def running_totals(
     ``counts`` is written first, because its size decides the ranges and the ranges are read twice.
     """
     counts, n_rows = durable_counted(counts, "value-counts")
-    ranged, n_ranges = _ranged(counts, value, n_rows, rows_per_range)
+    ranged = _ranged(counts, value, n_rows, rows_per_range)
     groups, weights = list(groups), list(weights)
     direction = F.desc if descending else F.asc
 
     within = Window.partitionBy(*groups, "_range")
     ahead = within.orderBy(direction(value)).rowsBetween(Window.unboundedPreceding, -1)
     out = ranged.withColumns({f"before_{w}": F.coalesce(F.sum(w).over(ahead), F.lit(0)) for w in weights})
-    if n_ranges == 1:
-        return out.withColumns({f"total_{w}": F.sum(w).over(within) for w in weights}).drop("_range")
-
-    # At most n_ranges rows per group.
+    # At most one row per range and group.
     per_group = Window.partitionBy(*groups)
     earlier = per_group.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -93,8 +88,6 @@ def attach_by_value(rows: DataFrame, table: DataFrame, key: str, count: str, hot
     them. All other keys are, by the same count, too small to be hot and are shuffled. ``table``
     is read several times and should be a written one.
     """
-    if table.where(F.col(count) > hot_over).isEmpty():
-        return rows.join(table, key)
     hot = F.broadcast(table.where(F.col(count) > hot_over))
     cold = table.where(F.col(count) <= hot_over)
     return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))
@@ -108,10 +101,7 @@ def rank_rows(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``rank()`` over the whole table (equal values share the lowest rank, NULLs come last)."""
-    base, n = durable_counted(df, "rank-input")
-    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
-    if n <= rows_per_range:  # checked: one range of rows, so one sort is fine
-        return base.withColumn(name, F.rank().over(Window.orderBy(order)).cast("bigint"))
+    base = durable(df, "rank-input")
     known = base.where(F.col(value).isNotNull())
     counts = known.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_totals(counts, value, ["_n"], descending=descending, rows_per_range=rows_per_range).select(
@@ -132,7 +122,6 @@ def exact_quantiles(
     groups: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
     accuracy: int = SKETCH_ACCURACY,
-    n_rows: int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation; one column per named probability.
 
@@ -140,13 +129,9 @@ def exact_quantiles(
     first brackets each quantile; then all rows are counted, but only values inside a bracket
     (about 4 / accuracy of them) stay apart, and the rest collapse to one count per side. So two
     scans and a small shuffle replace a sort of the data. Should a quantile lie outside its
-    bracket, all values are counted instead. A caller that knows ``n_rows`` to be small gets the
-    built-in aggregate.
+    bracket, all values are counted instead.
     """
     groups = list(groups)
-    if n_rows is not None and n_rows <= rows_per_range:
-        exact = [F.percentile(F.col(value).cast("double"), F.lit(p)).alias(name) for name, p in probabilities.items()]
-        return df.where(F.col(value).isNotNull()).groupBy(*groups).agg(*exact)
     rows = df.select(*groups, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     result = durable(_quantiles(_bracketed(rows, groups, probabilities, accuracy), groups, probabilities, rows_per_range), "quantiles")
     if not result.where(~F.col("_exact")).isEmpty():
