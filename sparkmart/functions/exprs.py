@@ -177,3 +177,8 @@ def money_text(c: Column | str, digits: int = 0) -> Column:
 def percent_text(c: Column | str, digits: int = 1) -> Column:
     """A fraction as percent text, e.g. 97.3%."""
     return F.concat(F.format_number(col(c) * 100, digits), F.lit("%"))
+
+
+def p_text(c: Column | str) -> Column:
+    """A probability with four decimals, or with three significant digits where those would be zeros."""
+    return F.when(col(c) < 1e-4, F.format_string("%.2e", c)).otherwise(F.format_string("%.4f", c))

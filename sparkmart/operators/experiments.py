@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions.distributions import normal_quantile, t_crit
-from sparkmart.functions.exprs import case_when
+from sparkmart.functions.exprs import case_when, p_text
 from sparkmart.operators.statistics import ALPHA, GROUPS, group_moments, welch_test
 
 POWER = 0.8
@@ -67,7 +67,7 @@ def ab_summary(result: DataFrame, effect: float = TARGET_EFFECT, required_n: int
         case_when((achieved >= F.col("required_n"), "meets"), otherwise="falls short of"),
         F.lit(" the "), F.col("required_n").cast("string"), F.lit(f" needed for {POWER:.0%} power."),
     )
-    figures = F.format_string("p = %.4f, t = %.3f", "p_value", "statistic")
+    figures = F.concat(F.lit("p = "), p_text("p_value"), F.format_string(", t = %.3f", "statistic"))
     outcome = F.when(
         F.col("significant"),
         F.concat(F.lit("a significant difference ("), figures, F.lit("), which can only be a false positive. ")),
@@ -114,6 +114,6 @@ def executive_summary(top_brand: DataFrame, result: DataFrame) -> DataFrame:
     text = F.concat(
         F.col("brand"), F.lit(" brings "), F.format_string("%.1f", F.col("revenue_share_percentage")),
         F.lit("% of revenue. Discounted items "), verdict, F.lit(" full-price items (p = "),
-        F.format_string("%.4f", F.col("_t.p_value")), F.lit(")."),
+        p_text(F.col("_t.p_value")), F.lit(")."),
     )
     return row.select(text.alias("summary"))

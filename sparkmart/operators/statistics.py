@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.functions.distributions import normal_p, normal_quantile, t_p
-from sparkmart.functions.exprs import case_when, exact_avg
+from sparkmart.functions.exprs import case_when, exact_avg, p_text
 from sparkmart.operators.ordering import ROWS_PER_RANGE, exact_quantiles, join_groups, quantile_columns, running_totals
 
 ALPHA = 0.05
@@ -99,6 +99,17 @@ def rank_sums(
     )
 
 
+def group_summary(
+    values: DataFrame,
+    groups: Sequence[str] = GROUPS,
+    segments: Sequence[str] = (),
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """``group_moments`` with the exact median of each group beside them."""
+    medians = rank_sums(values, groups, segments, rows_per_range).select(*segments, *(f"median_{g}" for g in groups))
+    return _joined(group_moments(values, groups, segments), medians, segments)
+
+
 def _joined(left: DataFrame, right: DataFrame, segments: Sequence[str]) -> DataFrame:
     """Two frames with one row per segment, side by side."""
     if segments:
@@ -238,7 +249,7 @@ def result_summary(result: DataFrame, groups: Sequence[str] = GROUPS, measure: s
     stat = F.when(F.col("test") == "welch_t", F.format_string("t = %.3f", "statistic")).otherwise(
         F.format_string("U = %.1f", "statistic")
     )
-    evidence = F.concat(F.lit("p = "), F.format_string("%.4f", "p_value"), F.lit(", "), stat)
+    evidence = F.concat(F.lit("p = "), p_text("p_value"), F.lit(", "), stat)
     mean_first = F.col(f"mean_{a}") > F.col(f"mean_{b}")
     median_first = F.col(f"median_{a}") > F.col(f"median_{b}")
     side = lambda c: F.when(c, first).otherwise(second)

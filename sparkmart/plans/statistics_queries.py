@@ -158,6 +158,15 @@ R.add(
     lambda t: _round(S.group_moments(_brand_groups(t), segments=["brand"]), **_MOMENT_DIGITS),
     _round_sql("SELECT * FROM {brand_moments}", **_MOMENT_DIGITS),
 )
+_SUMMARY_DIGITS = {**_MOMENT_DIGITS, **{f"median_{g}": 6 for g in S.GROUPS}}
+R.add(
+    "q_group_summary_by_brand",
+    lambda t: _round(S.group_summary(_brand_groups(t), segments=["brand"]), **_SUMMARY_DIGITS),
+    _round_sql(
+        f"SELECT m.*, {', '.join(f'median_{g}' for g in S.GROUPS)} FROM {{brand_moments}} m JOIN {{brand_ranks}} USING (brand)",
+        **_SUMMARY_DIGITS,
+    ),
+)
 _PROFILE_COLS = [f"{x}_{g}" for g in S.GROUPS for x in ("n", "skew", "kurtosis", "jb", "normal_p", "is_normal")]
 _PROFILE_DIGITS = {f"{x}_{g}": d for g in S.GROUPS for x, d in (("skew", 6), ("kurtosis", 6), ("jb", 4), ("normal_p", 6))}
 R.add(
@@ -252,7 +261,13 @@ _EFFECT_LABEL = (
     + _LABELS.format(e="effect_size", a="0.1e0", b="0.3e0", c="0.5e0")
     + " END"
 )
-_EVIDENCE = """'p = ' || printf('%.4f', p_value) || ', ' ||
+
+
+def _p_text_sql(p: str) -> str:
+    return f"CASE WHEN {p} < 1e-4 THEN printf('%.2e', {p}) ELSE printf('%.4f', {p}) END"
+
+
+_EVIDENCE = f"""'p = ' || {_p_text_sql('p_value')} || ', ' ||
     CASE WHEN test = 'welch_t' THEN printf('t = %.3f', statistic) ELSE printf('U = %.1f', statistic) END"""
 _TEST_NAME = "CASE WHEN test = 'welch_t' THEN 'Welch''s t-test' ELSE 'Mann-Whitney U test' END"
 
@@ -323,9 +338,9 @@ R.add(
     "q_ab_summary",
     lambda t: X.run_ab_simulation(_product_money(t), "product_id", "revenue").select("required_n", "summary"),
     f"""SELECT CAST(64 AS BIGINT) AS required_n, 'SIMULATED A/B test: ' || CASE WHEN p_value < 0.05e0
-            THEN 'a significant difference (' || printf('p = %.4f, t = %.3f', p_value, statistic)
+            THEN 'a significant difference (' || 'p = ' || {_p_text_sql('p_value')} || printf(', t = %.3f', statistic)
                  || '), which can only be a false positive. '
-            ELSE 'no significant difference (' || printf('p = %.4f, t = %.3f', p_value, statistic)
+            ELSE 'no significant difference (' || 'p = ' || {_p_text_sql('p_value')} || printf(', t = %.3f', statistic)
                  || '), as random groups should show. ' END
             || 'The smaller group has ' || LEAST(n_treatment, n_control) || ' rows, which '
             || CASE WHEN LEAST(n_treatment, n_control) >= 64 THEN 'meets' ELSE 'falls short of' END
@@ -351,7 +366,7 @@ R.add(
     f"""SELECT brand || ' brings ' || printf('%.1f', share) || '% of revenue. Discounted items ' ||
                CASE WHEN p < 0.05e0 AND rank_biserial > 0 THEN 'sell significantly better than'
                     WHEN p < 0.05e0 THEN 'sell significantly worse than' ELSE 'do not sell differently from' END
-               || ' full-price items (p = ' || printf('%.4f', p) || ').' AS summary
+               || ' full-price items (p = ' || {_p_text_sql('p')} || ').' AS summary
         FROM (SELECT brand, ROUND(total_revenue * 100.0 / (SELECT SUM(total_revenue) FROM {{brand_totals}}), 2) AS share
               FROM {{brand_totals}} ORDER BY total_revenue DESC, brand DESC LIMIT 1),
              (SELECT rank_biserial, CASE WHEN z <= 0 THEN 1e0 ELSE {_normal_p_sql('z')} END AS p FROM {{ranks}})""",

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmart.functions import distributions as D
+from sparkmart.functions.exprs import p_text
 from sparkmart.operators import experiments as X
 from sparkmart.operators import statistics as S
 
@@ -88,6 +89,20 @@ def test_summary_of_a_difference(frame):
     assert r["significant"] and "higher for discounted products" in r["summary"] and "Caution" in r["summary"]
 
 
+def test_small_probabilities_keep_their_digits(frame):
+    df = frame([(0.04,), (1e-4,), (2.01e-5,), (1.0,), (None,)], "p double")
+    assert [r[0] for r in df.select(p_text("p")).collect()] == ["0.0400", "0.0001", "2.01e-05", "1.0000", "null"]
+
+
+def test_group_summary_has_medians(frame):
+    rng = np.random.default_rng(8)
+    a, b = rng.exponential(30, 151), rng.normal(4, 3, 90)
+    for per_range in (1_000_000, 20):
+        r = S.group_summary(values(frame, a, b), rows_per_range=per_range).first()
+        assert r["median_discounted"] == pytest.approx(np.median(a)) and r["median_full_price"] == pytest.approx(np.median(b))
+        assert r["n_discounted"] == 151 and r["mean_full_price"] == pytest.approx(b.mean())
+
+
 def test_segments_side_by_side(frame):
     df = values(frame, range(10, 30), range(40)).withColumn("s", F.lit("a")).unionByName(
         values(frame, range(5), range(5, 10)).withColumn("s", F.lit("b"))
@@ -105,10 +120,10 @@ def test_magnitude(frame):
 
 
 def test_assignment(spark):
-    df = spark.range(1, 2001)
+    df = spark.range(5000, 8500)
     split = lambda seed: {r["id"] for r in X.assign(df, "id", seed).where("group = 'treatment'").collect()}
-    assert abs(len(split(42)) - 1000) < 100
-    assert split(42) == split(42) and split(42) != split(1)
+    assert abs(len(split(17)) - 1750) < 150
+    assert split(17) == split(17) and split(17) != split(903)
 
 
 def test_required_sample_size(spark):
