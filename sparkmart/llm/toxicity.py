@@ -95,10 +95,10 @@ def learn_scores(counts: pd.DataFrame, toxic_words: int, clean_words: int) -> Sc
     good = (2 * g >= MIN_G) & (y1 >= 3) & (odds > 1.0)
     names = counts["feature"].to_numpy(object)
     prefixes = {n for n in names[good] if n.endswith("*")}
-    words = np.array([not n.endswith("*") for n in names])
+    words = np.array([not n.endswith("*") for n in names], bool)
     share1 = min(0.5, y1[good & words].sum() / max(toxic_words, 1))
     other = min(np.log1p(-share1), -0.01)
-    exempt = words & ~good & (y0 > 0) & np.array([any(n[:k] + "*" in prefixes for k in PREFIXES if len(n) > k) for n in names])
+    exempt = words & ~good & (y0 > 0) & np.array([any(n[:k] + "*" in prefixes for k in PREFIXES if len(n) > k) for n in names], bool)
     keep = good | exempt
     scores = np.where(good, odds, other)[keep]
     # decay: the positive root of E[exp(decay * score)] = 1 over clean text

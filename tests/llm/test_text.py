@@ -197,3 +197,10 @@ def test_toxicity_odd_rows(odd_docs, frame):
     assert toxicity.fit(odd_docs, labels.limit(0)) is None
     assert toxicity.keep_clean(odd_docs, None).count() == 8
     assert toxicity.score_documents(odd_docs.limit(0), model).count() == 0
+
+
+def test_no_telling_feature():
+    """Labels may leave no feature that the test tells from chance; then every word is an ordinary word."""
+    none = pd.DataFrame({"feature": [], "toxic_n": [], "clean_n": []})
+    scorer = toxicity.learn_scores(none, 2963, 13467)
+    assert scorer.features == [] and len(scorer.scores) == 0 and scorer.other < 0
