@@ -46,6 +46,16 @@ def test_exact_topk_within_blocks(frame, vectors):
     assert found(got) == brute(vectors, 3, [i % 3 for i, _ in vectors])
 
 
+def test_written_tables_grow_with_the_rows(frame, monkeypatch):
+    """In spread-out vectors no cell is ruled out; what is written still holds no row for each pair of a row and a cell."""
+    rng = np.random.default_rng(5)
+    data = [(i, rng.normal(size=12).tolist()) for i in range(300)]
+    sizes, durable = {}, S.durable
+    monkeypatch.setattr(S, "durable", lambda df, label="table": sizes.setdefault(label, durable(df, label)))
+    assert found(S.cosine_topk(frame(data, "id bigint, v array<double>"), 3, "id", "v", pivots=16, chunk=32)) == brute(data, 3)
+    assert max(df.count() for df in sizes.values()) <= len(data)
+
+
 def test_text_ids_and_few_rows(frame):
     data = [("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("c", [0.0, 1.0])]
     got = found(S.cosine_topk(frame(data, "id string, v array<double>"), 10, "id", "v"))
