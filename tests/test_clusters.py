@@ -65,3 +65,21 @@ def test_compare_runs(frame):
 def test_elbow_falls(products):
     inertia = [r["inertia"] for r in C.elbow(products, range(2, 5), restarts=2).orderBy("k").collect()]
     assert inertia == sorted(inertia, reverse=True)
+
+
+def test_fits_overlap_and_choose_as_one_by_one(products, monkeypatch):
+    points = C.cluster_input(products)
+    plain = [C.KMeans(k=3, seed=42 + i, featuresCol="scaled", predictionCol="_raw").fit(points) for i in range(4)]
+    running, most, fit = [], [], C.KMeans.fit
+
+    def watched(self, df):
+        running.append(1)
+        most.append(len(running))
+        model = fit(self, df)
+        running.pop()
+        return model
+
+    monkeypatch.setattr(C.KMeans, "fit", watched)
+    models = C.best_models(points, [2, 3], restarts=4)
+    assert list(models) == [2, 3] and len(most) == 8 and max(most) > 1
+    assert models[3].summary.trainingCost == min(m.summary.trainingCost for m in plain)
