@@ -267,3 +267,21 @@ def test_line_dedup_with_taken_names_and_repeated_ids(frame):
     assert sum(line in k[0] for k in kept) == 1 and sum(k[3] for k in kept) == 2 and sorted(k[1] for k in kept) == [5, 6, 7, 8]
 
 
+
+
+def test_pairs_whose_only_block_is_full(docs, monkeypatch):
+    """Without the exact search: pairs of near lines that share but one block, which 200 other lines share too."""
+    monkeypatch.setattr(line_dedup, "_TILE", 32, raising=False)
+    pick = random.Random(10)
+    vocabulary = ["".join(pick.choice("abcdefghilmnoprstu") for _ in range(pick.randrange(5, 10))) for _ in range(2000)]
+
+    def line():
+        return ["notice", "of", "sale", *(pick.choice(vocabulary) for _ in range(18))]
+
+    texts = [" ".join(line()) for _ in range(200)]
+    for _ in range(20):
+        words = line()
+        near = [w if k < 3 or k in (9, 10, 11) else "x" + w[1:] for k, w in enumerate(words)]
+        texts += [" ".join(words), " ".join(near)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts), exact=False).collect()}
+    assert [got[k] for k in range(len(texts))] == [t if k < 200 or k % 2 == 0 else "" for k, t in enumerate(texts)]
