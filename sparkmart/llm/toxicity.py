@@ -24,6 +24,7 @@ TRIM = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha())
 PREFIXES = (6, 5, 4)
 PRIOR = 1.0  # documents that the prior of a feature counts for
 MIN_G = 20.0  # likelihood-ratio statistic from which a feature counts
+SCORED_BYTES = 2 << 20  # texts that a worker scores at once: words and scores take several times their bytes
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
@@ -261,6 +262,11 @@ def calibrate(scorer: Scorer, sample: DataFrame) -> Scorer:
     return scorer
 
 
+def small_chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Slices of a batch that is scored."""
+    return chunks(batch, "text", SCORED_BYTES)
+
+
 def score_documents(docs: DataFrame, scorer: Scorer | None, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted, passages (start word, words, score) of every row.
 
@@ -274,7 +280,7 @@ def score_documents(docs: DataFrame, scorer: Scorer | None, threshold: float = 0
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for rows, texts in chunks(batch, "text"):
+            for rows, texts in small_chunks(batch):
                 score = np.zeros(len(texts))
                 found: list = [[] for _ in range(len(texts))]
                 if model is not None:
@@ -306,7 +312,7 @@ def keep_clean(docs: DataFrame, scorer: Scorer | None, threshold: float = 0.5) -
             if model is None:
                 yield batch
                 continue
-            for rows, texts in chunks(batch, "text"):
+            for rows, texts in small_chunks(batch):
                 segments, words = passages(texts, model)
                 x = np.array([min(evidence(s, w, model), 60.0) for s, w in zip(segments, words.tolist())])
                 yield rows.filter(pa.array(1 / (1 + np.exp(-np.clip(model.base + model.slope * x, -30, 30))) < threshold))

@@ -204,3 +204,11 @@ def test_no_telling_feature():
     none = pd.DataFrame({"feature": [], "toxic_n": [], "clean_n": []})
     scorer = toxicity.learn_scores(none, 2963, 13467)
     assert scorer.features == [] and len(scorer.scores) == 0 and scorer.other < 0
+
+
+def test_toxicity_scores_small_chunks():
+    """Eight megabytes of text in a batch are scored in slices of about two, all rows once and in order."""
+    batch = pa.record_batch({"doc_id": list(range(80)), "text": ["words " * 17_000] * 80})
+    slices = list(toxicity.small_chunks(batch))
+    assert [k for rows, _ in slices for k in rows.column(0).to_pylist()] == list(range(80))
+    assert max(texts.nbytes for _, texts in slices) <= (2 << 20) + 110_000
