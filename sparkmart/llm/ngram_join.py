@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.llm.arrow_text import chunks, split_words
-from sparkmart.llm.linking import join_checked, link_in_buckets
+from sparkmart.llm.linking import both_ends, join_checked, link_in_buckets
 from sparkmart.session import durable
 
 FRAGMENTS = 4
@@ -73,8 +73,31 @@ def _node(shingles: np.ndarray) -> int | None:
         return int(_mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """One bit for each residue of the shingles, set where an odd number of them has it; as many bits, a power of two, as there
+    are shingles or more, in whole longs. Bits in which two sketches differ are at most the shingles that only one set has.
+    """
+    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def fewest_apart(x: Column, y: Column) -> Column:
+    """How many shingles at least only one of two sets has, by their sketches; 0 where one is longer than twice the other."""
+
+    def folded(s: Column) -> Column:
+        half = F.floor(F.size(s) / 2).cast("int")
+        return F.zip_with(F.slice(s, F.lit(1), half), F.slice(s, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+    def differ(s: Column, t: Column) -> Column:
+        return F.aggregate(F.zip_with(s, t, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, bits: n + bits)
+
+    n, m = F.size(x), F.size(y)
+    return F.when(n == m, differ(x, y)).when(n == 2 * m, differ(folded(x), y)).when(m == 2 * n, differ(x, folded(y))).otherwise(0)
+
+
 def survey(docs: DataFrame, n: int) -> DataFrame:
-    """One pass: (doc_id, node, size) of every document, and (shingle, times) of each task's most frequent shingles."""
+    """One pass: (doc_id, node, size, sketch) of every document, and (shingle, times) of each task's most frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -88,10 +111,11 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
                         rows.column(0),
                         pa.array([_node(s) for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                         pa.nulls(size, pa.int64()),
                         pa.nulls(size, pa.int64()),
                     ],
-                    names=["doc_id", "node", "size", "shingle", "times"],
+                    names=["doc_id", "node", "size", "sketch", "shingle", "times"],
                 )
                 values, counts = np.unique(np.concatenate(sets), return_counts=True)
                 slots = (values % np.uint64(SEEN_SLOTS)).astype(np.int64)
@@ -104,11 +128,11 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
                 seen, times = merged[top], total[top]
         blank = pa.nulls(len(seen), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [blank, blank, blank, pa.array(seen.view(np.int64)), pa.array(times)],
-            names=["doc_id", "node", "size", "shingle", "times"],
+            [blank, blank, blank, pa.nulls(len(seen), pa.list_(pa.int64())), pa.array(seen.view(np.int64)), pa.array(times)],
+            names=["doc_id", "node", "size", "sketch", "shingle", "times"],
         )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, size long, shingle long, times long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, size long, sketch array<long>, shingle long, times long")
 
 
 def _ordered(shingles: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +159,7 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     ``HOT_ROWS`` rows are split by node. The first shingle a pair shares
     bounds its overlap by what stands behind it in both, so a bucket tries only pairs that this bound allows. Within a bucket nodes
     are first tried against one of them and then only across groups, so a dense group costs as many pairs as it has rows.
+    Sketches of a bit a shingle settle most tried pairs that are not linked; only the shingles of the rest are moved.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
@@ -184,8 +209,8 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                     )
 
     buckets = docs.mapInArrow(heads, "token long, node long, pos long, size long, part int")
-    firsts = members.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"), F.max("size").alias("size"))
-    firsts = durable(firsts, "shingle-nodes")
+    known = seen.filter("node IS NOT NULL").groupBy("node")
+    firsts = durable(known.agg(F.min("doc_id").alias("first"), F.max("size").alias("size"), F.first("sketch").alias("sketch")), "shingle-nodes")
     texts = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,17 +245,27 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
         """If this is the first shared shingle in the common order, all shared ones stand at or behind it in both."""
         return F.least(n - p, m - q) * (100 + percent) >= (n + m) * percent
 
-    def verify(pairs: DataFrame, held: DataFrame) -> DataFrame:
-        left = held.select(F.col("node").alias("a"), "fragment", F.col("size").alias("na"), F.col("shingles").alias("x"))
-        right = held.select(F.col("node").alias("b"), "fragment", F.col("size").alias("nb"), F.col("shingles").alias("y"))
-        parts = pairs.join(left, "a").join(right, ["b", "fragment"])
-        overlap = F.size(F.array_intersect("x", "y")).cast("long").alias("overlap")
+    def close(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches leave the overlap possible: with few shingles apart, which is the same as a large overlap."""
+        told = join_checked(firsts.select("node", "size", "sketch"), both_ends(pairs), ["node"], "inner", 2 * pairs.count())
+        side = F.struct("size", "sketch")
+        told = told.groupBy("a", "b").agg(F.min(side).alias("x"), F.max(side).alias("y"))
+        apart = fewest_apart(F.col("x.sketch"), F.col("y.sketch")).cast("long")
+        return told.filter(apart * (100 + percent) <= (F.col("x.size") + F.col("y.size")) * (100 - percent)).select("a", "b")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        pairs = durable(close(pairs), "close-pairs")
+        ends = both_ends(pairs)
+        held = join_checked(segments(ends.select("node").distinct()), ends, ["node"], "inner", 2 * pairs.count())
         # a node may be held more than once where ids repeat; its rows are equal then
-        once = parts.select("a", "b", "na", "nb", "fragment", overlap).groupBy("a", "b", "na", "nb", "fragment").agg(F.max("overlap").alias("overlap"))
-        total = once.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
+        sides = [F.first(F.when(F.col("node") == F.col(c), F.struct("size", "shingles")), ignorenulls=True).alias(c * 2) for c in "ab"]
+        parts = held.groupBy("a", "b", "fragment").agg(*sides)
+        overlap = F.size(F.array_intersect("aa.shingles", "bb.shingles")).cast("long")
+        total = parts.select("a", "b", F.col("aa.size").alias("na"), F.col("bb.size").alias("nb"), overlap.alias("overlap"))
+        total = total.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("both"))
         return total.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent).select("a", "b")
 
-    _, roots = link_in_buckets(buckets, "token", segments, verify, may_link)
+    _, roots = link_in_buckets(buckets, "token", verify, may_link)
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
     return placed.join(smallest, "root", "left").select(

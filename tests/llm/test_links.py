@@ -105,6 +105,31 @@ def test_ngram_join_with_split_buckets(docs, monkeypatch):
     assert got == brute_components(texts, 4, 85)
 
 
+def test_ngram_join_moves_sets_of_close_pairs_only(docs, monkeypatch):
+    """Texts that share a rare passage and little else are settled by their sketches; those near the bound are not lost."""
+    moved, write = [], ngram_join.durable
+    monkeypatch.setattr(ngram_join, "durable", lambda df, label="table": moved.append((label, write(df, label))) or moved[-1][1])
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [f"{passage} " + " ".join(f"q{k}x{i}" for i in range(90 + k % 9)) for k in range(40)] + near_copies(40, 9, 5)
+    got = sorted(tuple(r) for r in ngram_join.component_table(docs(texts)).collect())
+    assert got == brute_components(texts, 4, 85)
+    assert sum(df.count() for label, df in moved if label == "wanted") <= 150  # all 80 at least twice without sketches
+
+
+def test_sketches_never_say_more_than_the_sets(frame):
+    rng = np.random.default_rng(4)
+    rows, apart = [], []
+    for k in range(200):
+        n = int(rng.integers(1, 700))
+        one = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        two = np.concatenate((one[: int(rng.integers(0, n + 1))], rng.integers(0, 1 << 63, int(rng.integers(1, 400)), dtype=np.uint64)))
+        apart.append(len(np.setxor1d(one, two)))
+        rows.append((k, ngram_join.sketch(one).tolist(), ngram_join.sketch(two).tolist()))
+    table = frame(rows, "k int, x array<long>, y array<long>")
+    got = {r[0]: r[1] for r in table.select("k", ngram_join.fewest_apart(table.x, table.y)).collect()}
+    assert all(0 <= got[k] <= n for k, n in enumerate(apart)) and sum(got[k] > 0 for k in got) > 100
+
+
 def test_ngram_join_odd_rows(odd_docs):
     got = ngram_join.component_table(odd_docs).collect()
     assert len(got) == 8 and all(r["component_id"] == r["doc_id"] for r in got)
