@@ -60,6 +60,21 @@ def test_components(frame):
     assert linking.components(frame([], "a long, b long")).count() == 0
 
 
+def test_pairs_of_one_group_are_not_tried_again(frame):
+    """Nodes that the first round has tied together in one bucket do not meet as centres of another."""
+    rows = [(1, k) for k in range(1, 22)] + [(2, k) for k in range(2, 21)]
+    buckets = frame([(b, k, 0, 1, 0) for b, k in rows], "bucket long, node long, pos long, size long, part int")
+    tried = []
+
+    def verify(pairs):
+        tried.append({(r["a"], r["b"]) for r in pairs.collect()})
+        return pairs.filter("a > 1 AND b < 21")
+
+    _, roots = linking.link_in_buckets(buckets, "bucket", verify)
+    assert {r["node"]: r["root"] for r in roots.collect()} == {k: 2 for k in range(2, 21)}
+    assert tried[1] and all(b == 21 for _, b in tried[1])  # with 8 centres for each of 20 nodes before
+
+
 def near_copies(n, edits, seed):
     """Variants of one text, each with some words replaced: linked only in part."""
     pick = random.Random(seed)
