@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.arrow_text import chunks, split_words
+from sparkmart.llm.arrow_text import chunks, releasing, split_words
 from sparkmart.llm.linking import both_ends, join_checked, link_in_buckets
 from sparkmart.session import durable
 
@@ -132,7 +132,7 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
             names=["doc_id", "node", "size", "sketch", "shingle", "times"],
         )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node long, size long, sketch array<long>, shingle long, times long")
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), "doc_id long, node long, size long, sketch array<long>, shingle long, times long")
 
 
 def _ordered(shingles: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +208,7 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
                         names=["token", "node", "pos", "size", "part"],
                     )
 
-    buckets = docs.mapInArrow(heads, "token long, node long, pos long, size long, part int")
+    buckets = docs.mapInArrow(releasing(heads), "token long, node long, pos long, size long, part int")
     known = seen.filter("node IS NOT NULL").groupBy("node")
     firsts = durable(known.agg(F.min("doc_id").alias("first"), F.max("size").alias("size"), F.first("sketch").alias("sketch")), "shingle-nodes")
     texts = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST)))
@@ -239,7 +239,7 @@ def component_table(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame
     def segments(nodes: DataFrame) -> DataFrame:
         wanted = durable(nodes.join(firsts, "node").select(F.coalesce("first", F.lit(_LAST)).alias("key")).distinct(), "wanted")
         few = join_checked(texts, wanted, ["key"], "left_semi", wanted.count())
-        return few.select("text").mapInArrow(fragments, "node long, fragment int, size long, shingles array<long>")
+        return few.select("text").mapInArrow(releasing(fragments), "node long, fragment int, size long, shingles array<long>")
 
     def may_link(p: Column, n: Column, q: Column, m: Column) -> Column:
         """If this is the first shared shingle in the common order, all shared ones stand at or behind it in both."""

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.arrow_text import chunks
+from sparkmart.llm.arrow_text import chunks, release, releasing
 from sparkmart.llm.token_ids import token_ids
 
 GROUP_BYTES = 8 << 20
@@ -63,7 +63,7 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_ids(tokenizer, spaces_matter)
         for batch in batches:
-            for rows, texts in chunks(batch, "text", 4 << 20):
+            for rows, texts in chunks(batch, "text", 2 << 20):
                 flat, offsets = encoder.encode(texts, end_id)
                 tokens = np.diff(offsets)
                 count = -(-tokens // capacity)
@@ -80,7 +80,7 @@ def pieces(
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, start long, length long, doc_tokens long, ids binary")
+    return rows.mapInArrow(releasing(cut), "doc_id long, start long, length long, doc_tokens long, ids binary")
 
 
 def pack(
@@ -107,6 +107,7 @@ def pack(
     groups = max(1, -(-size // group_bytes))
 
     def packed(table: pa.Table) -> pa.Table:
+        release()
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids")])
         lengths = table["length"].to_numpy()
         bins = first_fit_decreasing(lengths, capacity)

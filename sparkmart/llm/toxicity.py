@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.arrow_text import chunks, run_sums, split_words
+from sparkmart.llm.arrow_text import chunks, releasing, run_sums, split_words
 from sparkmart.llm.langid import held_out
 from sparkmart.session import durable
 
@@ -63,7 +63,7 @@ def count_features(sample: DataFrame) -> DataFrame:
                         names=["feature", "toxic_n", "clean_n"],
                     )
 
-    parts = sample.select("text", "toxic").mapInArrow(run, "feature string, toxic_n long, clean_n long")
+    parts = sample.select("text", "toxic").mapInArrow(releasing(run), "feature string, toxic_n long, clean_n long")
     return parts.groupBy("feature").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("clean_n").alias("clean_n"))
 
 
@@ -237,7 +237,7 @@ def calibrate(scorer: Scorer, sample: DataFrame) -> Scorer:
                     names=["toxic", "words", "scores"],
                 )
 
-    rows = sample.select("text", "toxic").mapInArrow(run, "toxic int, words long, scores array<double>").toPandas()
+    rows = sample.select("text", "toxic").mapInArrow(releasing(run), "toxic int, words long, scores array<double>").toPandas()
     if not len(rows):
         return scorer
     clean = rows[rows["toxic"] != 1]
@@ -296,7 +296,7 @@ def score_documents(docs: DataFrame, scorer: Scorer | None, threshold: float = 0
                 )
 
     out = docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, score double, passages array<struct<start:long,words:long,score:double>>"
+        releasing(run), "doc_id long, score double, passages array<struct<start:long,words:long,score:double>>"
     )
     predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
     return out.select("doc_id", held_out().alias("held_out"), "score", predicted, "passages")
@@ -317,4 +317,4 @@ def keep_clean(docs: DataFrame, scorer: Scorer | None, threshold: float = 0.5) -
                 x = np.array([min(evidence(s, w, model), 60.0) for s, w in zip(segments, words.tolist())])
                 yield rows.filter(pa.array(1 / (1 + np.exp(-np.clip(model.base + model.slope * x, -30, 30))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, langid, quality, queries, toxicity
+from sparkmart.llm import arrow_text, chat, langid, ngram_join, packing, quality, queries, toxicity
 from tests.conftest import SF
 
 CHATS = "conv_id long, turn long, role string, text string, segments string"
@@ -212,3 +212,24 @@ def test_toxicity_scores_small_chunks():
     slices = list(toxicity.small_chunks(batch))
     assert [k for rows, _ in slices for k in rows.column(0).to_pylist()] == list(range(80))
     assert max(texts.nbytes for _, texts in slices) <= (2 << 20) + 110_000
+
+
+def test_workers_release_memory_after_every_batch(docs, monkeypatch):
+    """The Python operators of the pipeline give freed memory back: a worker outlives its stage and stands beside the next one."""
+    calls = []
+    monkeypatch.setattr(arrow_text, "release", lambda: calls.append("release"))
+    task = arrow_text.releasing(lambda batches: (calls.append(b) or b for b in batches))
+    assert list(task(iter([1, 2]))) == [1, 2] and calls == ["release", 1, "release", 2, "release"]
+    for module in (packing, toxicity, ngram_join):
+        wrapped = []
+        monkeypatch.setattr(module, "releasing", lambda run, wrapped=wrapped: wrapped.append(run) or run)
+        table = docs(["one text of some words", None])
+        if module is packing:
+            packing.pieces(table, "none.json")
+        elif module is toxicity:
+            toxicity.keep_clean(table, None)
+        else:
+            ngram_join.survey(table, 4)
+        assert len(wrapped) == 1
+    monkeypatch.undo()
+    arrow_text.release()
