@@ -309,6 +309,30 @@ def test_line_dedup_with_taken_names_and_repeated_ids(frame):
 
 
 
+def test_bounds_of_close_texts_agree_with_the_distance(frame):
+    """Texts with letters and words edited, moved, dropped and added, up to and just over the room, and texts that repeat themselves."""
+    pick = random.Random(12)
+    vocabulary = ["".join(pick.choice("abcdeäßé") for _ in range(pick.randrange(2, 9))) for _ in range(60)]
+    rows = [("", "", 0), ("", "a", 0), ("", "a", 1), ("ab", "ba", 1), ("aa " * 50, "aa " * 48, 6), ("aa " * 50, "aa " * 48, 5)]
+    for n in (3, 8, 20, 60, 120):
+        for edits in range(0, n, max(1, n // 12)):
+            x = [pick.choice(vocabulary) for _ in range(n)]
+            y = list(x)
+            for _ in range(edits):
+                at, kind = pick.randrange(len(y)), pick.randrange(4)
+                new = [[], [y[at], pick.choice(vocabulary)], ["q" + y[at]], [pick.choice(vocabulary)]][kind]
+                y = y[:at] + new + y[at + 1 :] or ["z"]
+            if pick.random() < 0.2:
+                y = y[3:] + y[:3]
+            x, y = " ".join(x), " ".join(y)
+            d = edit_distance(x, y)
+            rows += [(x, y, room) for room in {d, max(d - 1, 0), max(len(x), len(y)) // 5}]
+    table = frame([(k, *r) for k, r in enumerate(rows)], "a long, x string, y string, room int")
+    got = {r["a"] for r in line_dedup._close(table).collect()}
+    assert got == {k for k, (x, y, room) in enumerate(rows) if edit_distance(x, y) <= room} and 0 < len(got) < len(rows)
+    assert line_dedup._close(table).columns == table.columns
+
+
 def test_pairs_whose_only_block_is_full(docs, monkeypatch):
     """Without the exact search: pairs of near lines that share but one block, which 200 other lines share too."""
     monkeypatch.setattr(line_dedup, "_TILE", 32, raising=False)
