@@ -116,9 +116,9 @@ def pack(
         ends = np.cumsum(lengths) - lengths
         first = np.searchsorted(bins, bins, side="left")
         group = table["group"][0].as_py()
-        return table.drop_columns(["group"]).append_column("sequence_id", pa.array((group << _BINS) + bins)).append_column(
-            "offset", pa.array(ends - ends[first])
-        )
+        table = table.drop_columns(["group"]).append_column("sequence_id", pa.array((group << _BINS) + bins))
+        release()  # once more, as the last group's worker stays
+        return table.append_column("offset", pa.array(ends - ends[first]))
 
     cut = pieces(docs, tokenizer, capacity, end_id, doc_id, text, spaces_matter)
     key = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", F.crc32("ids")), F.lit(groups))
