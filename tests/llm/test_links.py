@@ -349,3 +349,32 @@ def test_pairs_whose_only_block_is_full(docs, monkeypatch):
         texts += [" ".join(words), " ".join(near)]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts), exact=False).collect()}
     assert [got[k] for k in range(len(texts))] == [t if k < 200 or k % 2 == 0 else "" for k, t in enumerate(texts)]
+
+
+def edited_everywhere():
+    """Lines of 5 to 20 long words, each followed by itself with a letter replaced in every word, which no two runs of words survive."""
+    pick = random.Random(12)
+    texts = []
+    for n in (5, 6, 9, 12, 20):
+        for _ in range(3):
+            line = " ".join("".join(pick.choice("abcdefghilmnoprstu") for _ in range(pick.randrange(6, 11))) for _ in range(n))
+            texts += [line, edited(pick, line, n)]
+    return texts
+
+
+def test_query_finds_lines_that_share_no_block(spark, docs, tmp_path):
+    texts = edited_everywhere()
+    docs(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["text"] for r in queries.op10_line_dedup(spark, str(tmp_path)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_lines(texts) == [t if k % 2 == 0 else "" for k, t in enumerate(texts)]
+
+
+def test_exact_search_in_many_stripes(docs, monkeypatch):
+    """Lines of one length in several stripes, and pairs of unlike length across them."""
+    monkeypatch.setattr(line_dedup, "_CHUNK", 12)
+    monkeypatch.setattr(line_dedup, "_CHUNK_LETTERS", 1000, raising=False)
+    texts = edited_everywhere()
+    texts = [t for k, t in enumerate(texts) for t in ((t, f"{t} more") if k % 2 else (t, "x" + t[1:]))]
+    texts += [" ".join(w[:6].ljust(6, "e") for w in t.split()[:5]) for t in texts]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_lines(texts)
