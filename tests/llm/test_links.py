@@ -378,3 +378,9 @@ def test_exact_search_in_many_stripes(docs, monkeypatch):
     texts += [" ".join(w[:6].ljust(6, "e") for w in t.split()[:5]) for t in texts]
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs(texts)).collect()}
     assert [got[k] for k in range(len(texts))] == brute_lines(texts)
+
+
+def test_pipeline_finds_lines_that_share_no_block(spark, docs):
+    texts = edited_everywhere()
+    kept = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_repeated_lines(spark, docs(texts), "").collect())
+    assert kept == list(enumerate(texts))[::2]
