@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.session import durable
@@ -29,8 +29,15 @@ def whole_numbers(vectors: DataFrame, scale: int = 64) -> DataFrame:
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v"))
 
 
-def _matrix(data: bytes, dims: int) -> np.ndarray:
-    return np.frombuffer(data, np.int64).reshape(-1, dims)
+def _packed(table: np.ndarray) -> bytes:
+    """The whole numbers of a table in as few bytes each as its largest one takes."""
+    low, high = int(table.min()), int(table.max())
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return table.astype(kind).tobytes()
+
+
+def _matrix(data: bytes, rows: int, dims: int) -> np.ndarray:
+    return np.frombuffer(data, f"i{len(data) // (rows * dims)}").reshape(rows, dims).astype(np.int64)
 
 
 def blocks_by_length(rows: DataFrame) -> DataFrame:
@@ -50,7 +57,7 @@ def blocks_by_length(rows: DataFrame) -> DataFrame:
                 table[k, : len(v)] = v
             top = float(np.sqrt((table[0].astype(float) ** 2).sum()))
             names = (number << 13) + np.arange(len(held))
-            row = (number, top, np.array(held_ids, np.int64).tobytes(), names.tobytes(), table.tobytes(), dims)
+            row = (number, top, np.array(held_ids, np.int64).tobytes(), names.tobytes(), _packed(table), dims)
             return pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in zip(row, (pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))],
                 names=["block", "top", "ids", "rows", "vectors", "dims"],
@@ -80,13 +87,13 @@ def rotation(blocks: DataFrame, dims: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dims, dims))
         for batch in batches:
-            for data, d in zip(batch.column(0), batch.column(1).to_pylist()):
-                v = _matrix(data.as_py(), d).astype(float)
+            for data, rows, d in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                v = _matrix(data, len(rows) // 8, d).astype(float)
                 total[:d, :d] += v.T @ v
         i, j = np.divmod(np.arange(dims * dims), dims)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total.ravel())], names=["i", "j", "s"])
 
-    sums = blocks.select("vectors", "dims").mapInArrow(run, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    sums = blocks.select("vectors", "rows", "dims").mapInArrow(run, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
     out = np.zeros((dims, dims))
     for r in sums.collect():  # dims x dims numbers
         out[r["i"], r["j"]] = r["s"]
@@ -108,7 +115,7 @@ def query_blocks(blocks: DataFrame, is_query) -> DataFrame:
                     pa.array([number], pa.int64()),
                     pa.array([np.concatenate(ids).tobytes()], pa.binary()),
                     pa.array([np.concatenate(rows).tobytes()], pa.binary()),
-                    pa.array([table.tobytes()], pa.binary()),
+                    pa.array([_packed(table)], pa.binary()),
                     pa.array([dims], pa.int32()),
                 ],
                 names=["part", "q_ids", "q_rows", "q_vectors", "q_dims"],
@@ -125,7 +132,7 @@ def query_blocks(blocks: DataFrame, is_query) -> DataFrame:
                         ids, rows, tables, count, number = [], [], [], 0, number + 1
                     ids.append(name[part])
                     rows.append(row[part])
-                    tables.append(_matrix(data.as_py(), dims)[part])
+                    tables.append(_matrix(data.as_py(), len(row), dims)[part])
                     count += len(part)
         if count:
             yield block()
@@ -168,8 +175,8 @@ def best_of_block(
     if not exact:
         out = [(live[a], use[b], int(scores[a, b])) for a in range(len(live)) for b in sorted(np.flatnonzero(allowed[a]), key=lambda b: -scores[a, b])[:k]]
         return tuple(np.array(x) for x in zip(*out)) if out else (none, none, none)
-    scores = np.where(allowed, scores, -np.inf)
-    if scores.shape[1] > k:
+    if np.count_nonzero(allowed) > 8 * k * len(live) and scores.shape[1] > k:  # fewer are sorted as they are
+        scores = np.where(allowed, scores, -np.inf)
         cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
         allowed &= scores >= cut[:, None]
     a, b = np.nonzero(allowed)
@@ -180,19 +187,43 @@ def best_of_block(
     return live[a], use[b], scores[a, b].astype(np.int64)
 
 
+def _floor(q_rows: np.ndarray, floors: list | None) -> np.ndarray:
+    known = {f["q_row"]: f["floor"] for f in floors or ()}
+    return np.array([known.get(x, -np.inf) for x in q_rows.tolist()], float)
+
+
+def reachable(queries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(part, block) of those query blocks and blocks in which the longest vector may reach the floor of some query.
+
+    Only numbers take part: the vectors are joined to what is left. ``blocks`` is one small row per 4,096 vectors here.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                q_rows = np.frombuffer(r["q_rows"], np.int64)
+                length = np.sqrt((_matrix(r["q_vectors"], len(q_rows), r["q_dims"]).astype(float) ** 2).sum(axis=1))
+                floor = _floor(q_rows, r["floors"])
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    need = np.where(length > 0, (floor - 1e-6) / (length * (1 + 1e-9)), np.where(floor > 1e-6, np.inf, -np.inf))
+                out.append(need.min())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["part", "need"])
+
+    needs = queries.select("part", "q_rows", "q_vectors", "q_dims", "floors").mapInArrow(run, "part long, need double")
+    return needs.join(F.broadcast(blocks.select("block", "top")), F.col("top") >= F.col("need") * (1 - 1e-9) - 1e-9).select("part", "block")
+
+
 def _scan(pairs: DataFrame, basis: np.ndarray, k: int, floors: bool) -> DataFrame:
     shared = pairs.sparkSession.sparkContext.broadcast(basis)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                q, c = _matrix(r["q_vectors"], r["q_dims"]), _matrix(r["vectors"], r["dims"])
                 q_rows, q_ids = np.frombuffer(r["q_rows"], np.int64), np.frombuffer(r["q_ids"], np.int64)
                 c_ids, c_rows = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["rows"], np.int64)
-                floor = np.full(len(q), -np.inf)
-                if floors and r["floors"] is not None:
-                    known = {f["q_row"]: f["floor"] for f in r["floors"]}
-                    floor = np.array([known.get(x, -np.inf) for x in q_rows.tolist()], float)
+                q, c = _matrix(r["q_vectors"], len(q_rows), r["q_dims"]), _matrix(r["vectors"], len(c_rows), r["dims"])
+                floor = _floor(q_rows, r["floors"] if floors else None)
                 a, b, s = best_of_block(q, q_rows, floor, c, c_ids, c_rows, shared.value, k)
                 part = np.full(len(a), r["part"], np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -211,25 +242,26 @@ def top_products(vectors: DataFrame, is_query=lambda ids: ids % 20 == 0, k: int
     query, so it is found by its copy; other columns are ignored; an empty table, or one without queries, gives no rows.
 
     Queries and candidates meet block by block. Each query first meets the block of the longest vectors, which gives its floor;
-    after that whole blocks, the short end of a block, and pairs by their partial sums are skipped by it.
+    after that blocks too short for all queries of a query block are left out before any vector is moved, and whole
+    blocks, the short end of a block, and pairs by their partial sums are skipped by it.
     """
     blocks = durable(blocks_by_length(whole_numbers(vectors, scale)), "vector-blocks")
-    heads = blocks.select("block", "top", "dims").orderBy("block").collect()  # one small row per 4,096 vectors
+    heads = blocks.agg(F.min("block").alias("first"), F.max("dims").alias("dims")).first()
     queries = durable(query_blocks(blocks, is_query), "query-blocks")
-    dims = max((r["dims"] for r in heads), default=1)
-    basis = rotation(blocks, dims)
-    first = heads[0]["block"] if heads else -1
+    basis = rotation(blocks, heads["dims"] or 1)
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), "vec_id", "c_row")
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    head = blocks.filter(F.col("block") == first)
-    start = queries.withColumn("block", F.lit(first)).join(head, "block")
+    is_first = F.col("block") == F.lit(heads["first"] if heads["first"] is not None else -1)
+    start = queries.crossJoin(F.broadcast(blocks.filter(is_first)))  # one block
     opening = durable(_scan(start, basis, k, False), "first-block")
     floors = best(opening).groupBy("part", "q_row").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).filter(F.col("n") == k)
     floors = floors.groupBy("part").agg(F.collect_list(F.struct("q_row", "floor")).alias("floors"))  # at most QUERIES each
-    rest: Column = F.array(*[F.lit(r["block"]) for r in heads[1:]]).cast("array<bigint>")
-    pairs = queries.join(floors, "part", "left").withColumn("block", F.explode(rest)).join(blocks, "block")
+    opened = durable(queries.join(floors.hint("merge"), "part", "left"), "opened-queries")
+    chosen = durable(reachable(opened, blocks.filter(~is_first)), "block-pairs")
+    # a query block goes to many blocks: files say nothing of that size, so no side may be broadcast for the size of its files
+    pairs = opened.join(chosen.hint("merge"), "part").join(blocks.hint("merge"), "block")
     found = opening.unionByName(_scan(pairs, basis, k, True))
     return best(found).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -41,6 +41,26 @@ def test_top_products_brute_force(frame):
     assert top_products.top_products(table.limit(0)).count() == 0
 
 
+def test_top_products_moves_little(frame, monkeypatch):
+    """No side with vectors is broadcast, as a query block goes to many blocks, and short blocks get no vectors at all."""
+    rng = np.random.default_rng(2)
+    rows = [(k, [float(x) for x in rng.normal(size=6) * 0.97**k]) for k in range(200)]
+    monkeypatch.setattr(top_products, "BLOCK", 16)
+    monkeypatch.setattr(top_products, "QUERIES", 4)
+    kept = []
+    if hasattr(top_products, "reachable"):
+        whole = top_products.reachable
+        monkeypatch.setattr(top_products, "reachable", lambda q, b: kept.append((whole(q, b), q.count() * b.count())) or kept[0][0])
+    found = top_products.top_products(frame(rows, "vec_id long, embedding array<double>"), k=3)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 2
+    assert kept[0][0].count() < 0.7 * kept[0][1]
+    vectors = {k: np.floor(64 * np.array(v)).astype(int) for k, v in rows}
+    for q, rank, vec_id, score in found.collect():
+        best = sorted(((-int(vectors[q] @ v), k) for k, v in vectors.items() if k != q))
+        assert best[rank - 1] == (-score, vec_id)
+
+
 def test_components(frame):
     pick = random.Random(3)
     edges = [(pick.randrange(60), pick.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 140)] + [(300, k) for k in range(301, 360)]
