@@ -72,6 +72,24 @@ def test_lsh_recall(frame):
     assert near.count() <= 5 * 600
 
 
+def test_lsh_holds_a_vector_once(frame, vectors, monkeypatch):
+    """No table has a row for each hash table, and the pairs are those found bucket by bucket, with few or many in one bucket."""
+    rng = np.random.default_rng(8)
+    for data in (vectors, [(i, rng.normal(size=10).tolist()) for i in range(300)]):
+        df = frame(data, "id bigint, v array<double>")
+        for tables, projections in ((16, 8), (3, 4), (2, 12)):
+            sizes, durable = {}, S.durable
+            with monkeypatch.context() as m:
+                m.setattr(S, "durable", lambda df, label="table": sizes.setdefault(label, durable(df, label)))
+                near = found(S.cosine_topk_lsh(df, 4, "id", "v", tables=tables, projections=projections, chunk=32))
+                assert max(t.count() for t in sizes.values()) <= len(data)
+            with monkeypatch.context() as m:
+                m.setattr(S, "MEETS", -1, raising=False)
+                m.setattr(S, "max", min, raising=False)
+                assert near == found(S.cosine_topk_lsh(df, 4, "id", "v", tables=tables, projections=projections, chunk=32))
+            assert near
+
+
 FEATURES = (
     "product_id string, product_name string, brand string, brand_encoded bigint, listing_price double, "
     "discount double, revenue double, rating double, review_count double, cluster_label string"
