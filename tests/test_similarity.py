@@ -90,6 +90,15 @@ def test_lsh_holds_a_vector_once(frame, vectors, monkeypatch):
             assert near
 
 
+def test_lsh_recall_query_places_vectors_once(spark, monkeypatch):
+    from sparkmart.plans.catalog import all_queries
+
+    labels, durable = [], S.durable
+    monkeypatch.setattr(S, "durable", lambda df, label="table": labels.append(label) or durable(df, label))
+    assert 0.9 <= all_queries()["q_lsh_recall"].run(spark, "/root/testdata/sf0.001").first()["recall"] <= 1.0
+    assert labels.count("placed") == 1 and labels.count("opened-blocks") == 2
+
+
 FEATURES = (
     "product_id string, product_name string, brand string, brand_encoded bigint, listing_price double, "
     "discount double, revenue double, rating double, review_count double, cluster_label string"
